@@ -10,7 +10,7 @@ from stationflow.plans.mart import MartOptions
 
 # Parameters that suit the small counts of the test tables.
 BANDS = (5, 2, 0.5)
-MARKERS = ("-trip-data", "_trip_data")
+MARKERS = ("-trip-data", "-trip_data")
 FILES_AS_OF = datetime(2001, 8, 15)
 FILES_MONTHS = 12
 FRESH_AS_OF = {

@@ -17,18 +17,20 @@ CORRUPT = "_corrupt_record"
 class TripLayout:
     """One CSV layout: its columns in file order, new names for them, and its files.
 
-    ``files`` is a file-name glob. The reader binds columns by position, so a
-    file whose header disagrees with ``schema`` fails the read.
+    ``files`` is a file-name glob, ``folder`` a place below the path that is
+    read. The reader binds columns by position, so a file whose header
+    disagrees with ``schema`` fails the read.
     """
 
     schema: T.StructType
     renames: Mapping[str, str] = field(default_factory=dict)
     files: str | None = None
+    folder: str | None = None
 
 
 def _read_csv(
     spark: SparkSession,
-    path: str | Sequence[str],
+    path: str,
     schema: T.StructType | None,
     corrupt_col: str | None,
     layout: TripLayout | None = None,
@@ -49,12 +51,14 @@ def _read_csv(
         reader = reader.option("enforceSchema", False)
         if layout.files:
             reader = reader.option("pathGlobFilter", layout.files)
+        if layout.folder:
+            path = f"{path.rstrip('/')}/{layout.folder}"
     return reader.csv(path)
 
 
 def read_trips_csv(
     spark: SparkSession,
-    path: str | Sequence[str],
+    path: str,
     schema: T.StructType = TRIP_RAW,
     corrupt_col: str | None = None,
     layouts: Sequence[TripLayout] | None = None,
