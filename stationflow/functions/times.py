@@ -11,7 +11,7 @@ MILLISECONDS = "yyyy-MM-dd HH:mm:ss.SSS"
 SECONDS = "yyyy-MM-dd HH:mm:ss"
 TRIP_FORMATS = (MILLISECONDS, SECONDS)
 
-_TRIP_SHAPE = r"\A\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d{3})?\z"
+_TRIP_SHAPE = r"\A\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d{1,3})?\z"
 
 # Index 1 is Sunday, as in Spark's dayofweek.
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")

@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stationflow.schemas import TRIP_RAW
-from stationflow.sources.trips import CORRUPT
+from stationflow.sources.trips import CORRUPT, fit_types
 
 ARCHIVE, MEMBER, ERROR = "_archive", "_member", "_error"
 
@@ -161,21 +161,7 @@ def unpack_trip_archives(
         .repartition(tasks, ARCHIVE, MEMBER)
         .mapInArrow(read_members, ", ".join(f"{name} string" for name in out))
     )
-    return _typed(text, schema)
-
-
-def _typed(text: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast text columns; a value that does not fit marks its row as corrupt."""
-    casts = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
-    unfit = F.lit(False)
-    for f in schema:
-        if not isinstance(f.dataType, T.StringType):
-            unfit = unfit | (
-                F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
-            )
-    line = F.to_csv(F.struct(*schema.fieldNames()))
-    corrupt = F.coalesce(F.col(CORRUPT), F.when(unfit, line)).alias(CORRUPT)
-    return text.select(*casts, corrupt, ARCHIVE, MEMBER, ERROR)
+    return fit_types(text, schema, CORRUPT)
 
 
 def archive_results(unpacked: DataFrame) -> DataFrame:

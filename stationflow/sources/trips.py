@@ -28,6 +28,28 @@ class TripLayout:
     folder: str | None = None
 
 
+def fit_types(text: DataFrame, schema: T.StructType, corrupt_col: str) -> DataFrame:
+    """Cast text columns to ``schema``; a value that does not fit marks its row.
+
+    As an expression the mark is the same whichever columns a query goes on to
+    use. The reader's own check covers only the columns that survive pruning.
+    """
+    unfit = F.lit(False)
+    for f in schema:
+        if not isinstance(f.dataType, T.StringType):
+            unfit = unfit | (
+                F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            )
+    line = F.to_csv(F.struct(*schema.fieldNames()))
+    corrupt = F.coalesce(F.col(corrupt_col), F.when(unfit, line)).alias(corrupt_col)
+    known = {*schema.fieldNames(), corrupt_col}
+    return text.select(
+        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema),
+        corrupt,
+        *(name for name in text.columns if name not in known),
+    )
+
+
 def _read_csv(
     spark: SparkSession,
     path: str,
@@ -36,24 +58,24 @@ def _read_csv(
     layout: TripLayout | None = None,
 ) -> DataFrame:
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is None:
-        reader = reader.option("inferSchema", True)
-    else:
-        if corrupt_col:
-            # A pruned column would go unchecked, and what counts as malformed
-            # would depend on the columns a query happens to use.
-            reader = reader.option("columnNameOfCorruptRecord", corrupt_col).option(
-                "columnPruning", False
-            )
-            schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
-        reader = reader.schema(schema)
     if layout:
         reader = reader.option("enforceSchema", False)
         if layout.files:
             reader = reader.option("pathGlobFilter", layout.files)
         if layout.folder:
             path = f"{path.rstrip('/')}/{layout.folder}"
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    if not corrupt_col:
+        return reader.schema(schema).csv(path)
+    text = [T.StructField(name, T.StringType()) for name in [*schema.fieldNames(), corrupt_col]]
+    rows = (
+        reader.schema(T.StructType(text))
+        .option("columnNameOfCorruptRecord", corrupt_col)
+        .option("columnPruning", False)  # so that every line's columns are counted
+        .csv(path)
+    )
+    return fit_types(rows, schema, corrupt_col)
 
 
 def read_trips_csv(
@@ -66,8 +88,8 @@ def read_trips_csv(
 ) -> DataFrame:
     """Raw trips from CSV with a header.
 
-    Bad values become NULL; with ``corrupt_col`` the raw line of such a row is
-    kept there (see ``split_corrupt``). ``layouts`` reads files of different
+    Bad values become NULL; with ``corrupt_col`` the line of such a row is kept
+    there (see ``split_corrupt``). ``layouts`` reads files of different
     layouts into the columns of ``schema``; what a layout lacks is NULL.
     """
     if infer:
