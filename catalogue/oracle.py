@@ -357,6 +357,13 @@ oracle(
        FROM trips_raw WHERE rideable_type <> 'electric_bike'""",
     "trips_raw",
 )
+oracle("trips_archive_scan", "SELECT * FROM trips_raw", "trips_raw")
+oracle(
+    "trips_archive_results",
+    """SELECT count(*) AS rows, CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS errors
+       FROM trips_raw""",
+    "trips_raw",
+)
 oracle("trips_parquet_scan", "SELECT * FROM clean", "clean")
 oracle(
     "trips_external_table",
@@ -377,6 +384,20 @@ oracle(
         FROM (SELECT {_SNAPSHOT_ROW} FROM snapshots WHERE event_type = 'click')""",
     "snapshots",
 )
+_STAGED = """ts AS snapshot_at, CAST(hour(ts) AS INTEGER) AS snapshot_hour,
+       CAST(ts AS DATE) AS snapshot_date, {station} AS station_id, num_bikes_available,
+       num_ebikes_available, num_docks_available, num_bikes_disabled,
+       CAST(is_installed AS BIGINT) AS is_installed, CAST(is_renting AS BIGINT) AS is_renting,
+       CAST(is_returning AS BIGINT) AS is_returning"""
+oracle(
+    "snapshots_ingest_batch",
+    f"""SELECT {_STAGED.format(station='station_id')} FROM snapshots
+        WHERE event_type NOT IN ('error', 'purchase')
+        UNION ALL
+        SELECT {_STAGED.format(station="'other-' || user_id")} FROM snapshots
+        WHERE event_type = 'click'""",
+    "snapshots",
+)
 oracle(
     "stations_flattened",
     """SELECT CASE WHEN number % 11 <> 0 THEN station_id ELSE '' END AS station_id,
@@ -474,6 +495,10 @@ oracle("availability_hourly", "SELECT * FROM hourly", "hourly")
 oracle("availability_station", "SELECT * FROM supply", "supply")
 
 
+oracle("availability_station_on_key", "SELECT * FROM supply_on_key", "supply_on_key")
+oracle("availability_station_by_hour", "SELECT * FROM supply_by_hour", "supply_by_hour")
+
+
 def _weighted(column: str, digits: int) -> str:
     scale = 10**digits
     total = f"sum(CAST(round({column} * {scale}) AS BIGINT) * snapshot_count)"

@@ -22,7 +22,14 @@ from stationflow.operators import (
 from stationflow.plans import mart as plans
 from stationflow.schemas import RIDER_KINDS, SEVERITIES, SNAPSHOT, TRIP_CLEAN, TRIP_RAW
 from stationflow.session import materialise, scratch_path
-from stationflow.sources import audit, listing, sinks, snapshots as snap, trips as trip_sources
+from stationflow.sources import (
+    archives,
+    audit,
+    listing,
+    sinks,
+    snapshots as snap,
+    trips as trip_sources,
+)
 from stationflow.streaming import snapshots as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +183,31 @@ def trips_csv_layouts(spark, sf_dir):
     )
 
 
+def _archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw trips, written as zip archives and unpacked again."""
+    path = scratch_path(spark, "archives")
+    raw = fx.trips_raw(spark, sf_dir)
+    # The folder itself is made by a (small) Spark write.
+    raw.limit(0).write.option("header", True).csv(path)
+    archives.write_trip_archives(raw, path).write.format("noop").mode("overwrite").save()
+    return archives.unpack_trip_archives(spark, path)
+
+
+@query
+def trips_archive_scan(spark, sf_dir):
+    return _archived(spark, sf_dir).filter("_error is null").select(*TRIP_RAW.fieldNames())
+
+
+@query
+def trips_archive_results(spark, sf_dir):
+    results = archives.archive_results(_archived(spark, sf_dir))
+    return results.agg(
+        F.sum("rows").alias("rows"),
+        F.sum("corrupt_rows").alias("corrupt_rows"),
+        F.count("error").alias("errors"),
+    )
+
+
 @query
 def trips_parquet_scan(spark, sf_dir):
     path = scratch_path(spark, "trips")
@@ -213,6 +245,15 @@ def snapshots_flattened(spark, sf_dir):
     return snap.flatten_snapshot(fx.snapshot_docs(spark, sf_dir), F.col("captured_at"))
 
 
+@query
+def snapshots_ingest_batch(spark, sf_dir):
+    """Documents flattened, landed by day, read back and staged."""
+    path = scratch_path(spark, "snapshots")
+    docs = fx.snapshot_docs(spark, sf_dir)
+    sinks.append_snapshots(snap.flatten_snapshot(docs, F.col("captured_at")), path)
+    return staging.stage_snapshots(snap.read_snapshots(spark, path))
+
+
 @query
 def stations_flattened(spark, sf_dir):
     return snap.flatten_station_info(fx.station_docs(spark, sf_dir), "2024-02-01 00:00:00")
@@ -380,6 +421,18 @@ def availability_station_weighted(spark, sf_dir):
     return availability.station_availability(hourly_supply(spark, sf_dir), weighted=True)
 
 
+@query
+def availability_station_on_key(spark, sf_dir):
+    return availability.station_availability(hourly_supply(spark, sf_dir), group_on_key=True)
+
+
+@query
+def availability_station_by_hour(spark, sf_dir):
+    local = staging.stage_snapshots(fx.snapshots(spark, sf_dir), "America/New_York")
+    hourly = availability.hourly_availability_from(local, staged_stations(spark, sf_dir))
+    return availability.station_availability(hourly, by_hour=True)
+
+
 # Gap -----------------------------------------------------------------------
 
 

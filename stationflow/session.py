@@ -47,9 +47,8 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="stationflow-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stationflow-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

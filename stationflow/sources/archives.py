@@ -13,6 +13,7 @@ import io
 import zipfile
 from collections.abc import Iterator, Mapping
 from fnmatch import fnmatch
+from itertools import chain
 
 import pyarrow as pa
 import pyarrow.csv as pacsv
@@ -29,14 +30,20 @@ _BLOCK_BYTES = 8 << 20
 
 def _open(path: str):
     """A seekable file on any file system Arrow knows."""
-    if path.startswith("file:"):
-        return open("/" + path[len("file:") :].lstrip("/"), "rb")
-    if "://" not in path:
-        return open(path, "rb")
+    if path.startswith("file:") or "://" not in path:
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
     system, name = fs.FileSystem.from_uri(path)
     return system.open_input_file(name)
 
 
+def _create(path: str):
+    """A file to write, on any file system Arrow knows."""
+    if path.startswith("file:") or "://" not in path:
+        return open("/" + path.removeprefix("file:").lstrip("/"), "wb")
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_output_stream(name)
+
+
 def _header(archive: zipfile.ZipFile, member: str) -> list[str]:
     with archive.open(member) as raw:
         line = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="").readline()
@@ -164,6 +171,38 @@ def unpack_trip_archives(
     return fit_types(text, schema, CORRUPT)
 
 
+def write_trip_archives(df: DataFrame, path: str) -> DataFrame:
+    """Trips as zip archives, one CSV member and one archive per task; returns their names.
+
+    Lines go to the archive as they arrive. A task that is retried replaces its
+    archive.
+    """
+    header = ",".join(df.columns)
+    options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines = df.select(
+        F.to_csv(F.struct(*df.columns), options).alias("line"),
+        F.spark_partition_id().alias("part"),
+    )
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next(batches, None)
+        while first is not None and first.num_rows == 0:
+            first = next(batches, None)
+        if first is None:
+            return
+        name = f"trips-{first.column('part')[0].as_py():05d}"
+        target = f"{path}/{name}.zip"
+        with _create(target) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
+            with archive.open(f"{name}.csv", "w", force_zip64=True) as member:
+                member.write(f"{header}\n".encode())
+                for batch in chain([first], batches):
+                    for line in batch.column("line"):
+                        member.write(line.as_buffer().to_pybytes() + b"\n")
+        yield pa.RecordBatch.from_arrays([pa.array([target])], names=["path"])
+
+    return lines.mapInArrow(write, "path string")
+
+
 def archive_results(unpacked: DataFrame) -> DataFrame:
     """Rows, corrupt rows and error of every archive member."""
     return unpacked.groupBy(
