@@ -14,6 +14,7 @@ from stationflow.operators.ranking import (
     number_rows_within,
     place_in_order,
 )
+from stationflow.session import materialise
 
 MART_TIES = (
     "station_id",
@@ -136,16 +137,20 @@ def worst_gaps(scored: DataFrame, n: int = 10) -> DataFrame:
 def unmatched_stations(
     demand: DataFrame, supply: DataFrame, key: NameKey = normalise_name
 ) -> DataFrame:
-    """Stations of either side whose name has no counterpart on the other."""
+    """Stations of either side whose name has no counterpart on the other.
+
+    Each side is reduced to one row per station and stored, as both joins read
+    it and would otherwise compute the demand twice.
+    """
 
     def stations(df: DataFrame, side: str, station_id: str) -> DataFrame:
-        # One row per station before any join, however many rows it has.
-        return df.select(
+        listed = df.select(
             F.lit(side).alias("side"),
             F.col(station_id).alias("station_id"),
             "station_name",
             key(F.col("station_name")).alias("_name_key"),
         ).distinct()
+        return materialise(listed, side)
 
     asking = stations(demand, "demand_only", "station_id")
     giving = stations(supply, "supply_only", "supply_station_id")
