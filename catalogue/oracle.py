@@ -344,7 +344,12 @@ _SNAPSHOT_ROW = """station_id, num_bikes_available, num_ebikes_available, num_do
 oracle("trips_csv_scan", "SELECT * FROM trips_raw", "trips_raw")
 oracle(
     "trips_csv_corrupt",
-    """SELECT CASE WHEN ended_at LIKE '%7' THEN 'corrupt' ELSE 'good' END AS kind, ride_id
+    """SELECT CASE WHEN ended_at LIKE '%7' THEN 'corrupt' ELSE 'good' END AS kind, ride_id,
+              CASE WHEN ended_at LIKE '%7' THEN
+                  ride_id || ',' || rideable_type || ',' || started_at || ',' || ended_at || ','
+                  || start_station_name || ',' || coalesce(start_station_id, '') || ',' || end_station_name
+                  || ',' || coalesce(end_station_id, '') || ',north,' || start_lng || ',' || end_lat || ','
+                  || end_lng || ',' || member_casual END AS line
        FROM trips_raw""",
     "trips_raw",
 )
@@ -358,12 +363,57 @@ oracle(
     "trips_raw",
 )
 oracle("trips_archive_scan", "SELECT * FROM trips_raw", "trips_raw")
+oracle(
+    "trips_archive_multiline",
+    """SELECT * REPLACE (start_station_name || chr(10) || '"A", ' || end_station_name || chr(10) || chr(10) || 'B'
+              AS start_station_name) FROM trips_raw""",
+    "trips_raw",
+)
+oracle(
+    "trips_archive_failed_member",
+    "SELECT * FROM trips_raw WHERE CAST(split_part(ride_id, '-', 1) AS BIGINT) % 3 <> 0",
+    "trips_raw",
+)
+oracle(
+    "files_ingest_report",
+    """SELECT CASE WHEN CAST(split_part(ride_id, '-', 1) AS BIGINT) % 3 = 0 THEN 'error' ELSE 'success' END AS status,
+              count(DISTINCT CAST(split_part(ride_id, '-', 1) AS BIGINT) % 3) AS files
+       FROM trips_raw GROUP BY ALL""",
+    "trips_raw",
+)
 oracle(
     "trips_archive_results",
     """SELECT count(*) AS rows, CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS errors
        FROM trips_raw""",
     "trips_raw",
 )
+oracle(
+    "snapshots_range",
+    f"""SELECT {_SNAPSHOT_ROW}, fmt FROM snapshots, (VALUES ('json'), ('parquet')) t(fmt)
+        WHERE CAST(ts AS DATE) IN (DATE '2024-01-14', DATE '2024-01-15', DATE '2024-01-17')""",
+    "snapshots",
+)
+oracle(
+    "table_stations_replaced",
+    """SELECT station_id, name, short_name, lat, lon, capacity, region_id FROM stations WHERE capacity > 0""",
+    "stations",
+)
+oracle("mart_published", "SELECT * FROM mart", "mart")
+oracle(
+    "layer_tables",
+    "SELECT * FROM (VALUES ('stations', 'MANAGED'), ('files', 'MANAGED')) t(table_name, table_type)",
+)
+oracle(
+    "trips_months_replaced",
+    """SELECT year, month, count(*) AS trips FROM clean
+       WHERE NOT (year = 1995 AND month = 6 AND member_casual <> 'member') GROUP BY year, month""",
+    "clean",
+)
+oracle(
+    "storage_inventory",
+    """SELECT DISTINCT 'year=' || year || '/month=' || month || '/' AS folder, true AS has_data FROM clean""",
+    "clean",
+)
 oracle("trips_parquet_scan", "SELECT * FROM clean", "clean")
 oracle(
     "trips_external_table",
@@ -733,15 +783,36 @@ oracle(
 )
 
 # Streams
+_SOURCE_CHECKS = [
+    ("trips", "not_null", "ride_id", "count_if(ride_id IS NULL)", "clean"),
+    ("trips", "not_null", "started_at_ts", "count_if(started_at_ts IS NULL)", "clean"),
+    ("trips", "accepted_values", "member_casual", "count_if(member_casual NOT IN ('member', 'casual'))", "clean"),
+    ("snapshots", "not_null", "station_id", "count_if(station_id IS NULL)", "snapshots"),
+    ("snapshots", "not_null", "snapshot_at", "count_if(snapshot_at IS NULL)", "snapshots"),
+    ("stations", "not_null", "station_id", "count_if(station_id IS NULL)", "stations"),
+    ("stations", "not_null", "name", "count_if(name IS NULL)", "stations"),
+]
+oracle(
+    "dq_sources",
+    "\nUNION ALL ".join(
+        [f"SELECT *, '{source}' AS source FROM ({_check(*check)})" for source, *check in _SOURCE_CHECKS]
+        + [f"SELECT *, 'stations' AS source FROM ({_repeats('station_id', 'stations')})"]
+    ),
+    "clean",
+    "snapshots",
+    "stations",
+)
 oracle("stream_ingested", f"SELECT {_SNAPSHOT_ROW} FROM snapshots", "snapshots")
 oracle(
     "stream_deduped", "SELECT DISTINCT station_id, snapshot_at FROM stg_snapshots", "stg_snapshots"
 )
 oracle(
     "stream_windowed_availability",
-    f"""SELECT date_trunc('hour', snapshot_at) AS window_start,
-               date_trunc('hour', snapshot_at) + INTERVAL 1 HOUR AS window_end,
-               station_id, station_name, latitude, longitude, total_capacity, {_MEASURES}
-        FROM with_capacity GROUP BY ALL""",
+    f"""SELECT * FROM (
+            SELECT date_trunc('hour', snapshot_at) AS window_start,
+                   date_trunc('hour', snapshot_at) + INTERVAL 1 HOUR AS window_end,
+                   station_id, station_name, latitude, longitude, total_capacity, {_MEASURES}
+            FROM with_capacity GROUP BY ALL)
+        WHERE window_end <= (SELECT max(snapshot_at) - INTERVAL 30 MINUTE FROM stg_snapshots)""",
     "with_capacity",
 )

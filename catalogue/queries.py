@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from catalogue.landing import write_trip_archives
 from stationflow import fixtures as fx
 from stationflow.functions import gap_severity
 from stationflow.operators import (
@@ -21,7 +23,7 @@ from stationflow.operators import (
 )
 from stationflow.plans import mart as plans
 from stationflow.schemas import RIDER_KINDS, SEVERITIES, SNAPSHOT, TRIP_CLEAN, TRIP_RAW
-from stationflow.session import materialise, scratch_path
+from stationflow.session import CHECKPOINT_DIR, materialise, scratch_path
 from stationflow.sources import (
     archives,
     audit,
@@ -43,12 +45,21 @@ def query(run: Query) -> Query:
 
     def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ensure_scratch(spark)
         return naive_times(run(spark, sf_dir))
 
     QUERIES[run.__name__] = registered
     return run
 
 
+def ensure_scratch(spark: SparkSession) -> None:
+    """Give a local session that names no shared folder one of this machine's."""
+    context = spark.sparkContext
+    named = context.getConf().get(CHECKPOINT_DIR) or context.getCheckpointDir()
+    if not named and (context.master == "local" or context.master.startswith("local[")):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="stationflow-"))
+
+
 def naive_times(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
@@ -148,8 +159,11 @@ def trips_csv_corrupt(spark, sf_dir):
     path = _write_csv(spoilt, scratch_path(spark, "csv"))
     read = trip_sources.read_trips_csv(spark, path, corrupt_col=trip_sources.CORRUPT)
     good, corrupt = trip_sources.split_corrupt(read)
-    return good.select(F.lit("good").alias("kind"), "ride_id").unionByName(
-        corrupt.select(F.lit("corrupt").alias("kind"), "ride_id")
+    line = F.lit(None).cast("string").alias("line")
+    return good.select(F.lit("good").alias("kind"), "ride_id", line).unionByName(
+        corrupt.select(
+            F.lit("corrupt").alias("kind"), "ride_id", F.col(trip_sources.CORRUPT).alias("line")
+        )
     )
 
 
@@ -183,24 +197,49 @@ def trips_csv_layouts(spark, sf_dir):
     )
 
 
-def _archived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All raw trips, written as zip archives and unpacked again."""
+def _archived(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Raw trips, written as zip archives and unpacked again."""
+    path = scratch_path(spark, "archives")
+    write_trip_archives(raw, path)
+    return archives.unpack_trip_archives(spark, path)
+
+
+def _thirds_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips in three archives by their order; the archive of every third order is damaged."""
     path = scratch_path(spark, "archives")
     raw = fx.trips_raw(spark, sf_dir)
-    # The folder itself is made by a (small) Spark write.
-    raw.limit(0).write.option("header", True).csv(path)
-    archives.write_trip_archives(raw, path).write.format("noop").mode("overwrite").save()
+    third = F.substring_index("ride_id", "-", 1).cast("bigint") % 3
+    for i in range(3):
+        write_trip_archives(raw.filter(third == i).coalesce(1), f"{path}/{i}", broken=i == 0)
     return archives.unpack_trip_archives(spark, path)
 
 
+def _good(unpacked: DataFrame) -> DataFrame:
+    read = F.col(archives.ERROR).isNull() & F.col(trip_sources.CORRUPT).isNull()
+    return unpacked.filter(read).select(*TRIP_RAW.fieldNames())
+
+
 @query
 def trips_archive_scan(spark, sf_dir):
-    return _archived(spark, sf_dir).filter("_error is null").select(*TRIP_RAW.fieldNames())
+    return _good(_archived(spark, fx.trips_raw(spark, sf_dir)))
+
+
+@query
+def trips_archive_multiline(spark, sf_dir):
+    """Names with line breaks, quotes and commas in quoted cells."""
+    name = F.concat("start_station_name", F.lit('\n"A", '), "end_station_name", F.lit("\n\nB"))
+    raw = fx.trips_raw(spark, sf_dir).withColumn("start_station_name", name)
+    return _good(_archived(spark, raw))
+
+
+@query
+def trips_archive_failed_member(spark, sf_dir):
+    return _good(_thirds_archived(spark, sf_dir))
 
 
 @query
 def trips_archive_results(spark, sf_dir):
-    results = archives.archive_results(_archived(spark, sf_dir))
+    results = archives.archive_results(_archived(spark, fx.trips_raw(spark, sf_dir)))
     return results.agg(
         F.sum("rows").alias("rows"),
         F.sum("corrupt_rows").alias("corrupt_rows"),
@@ -208,6 +247,11 @@ def trips_archive_results(spark, sf_dir):
     )
 
 
+@query
+def files_ingest_report(spark, sf_dir):
+    return archives.ingest_report(archives.archive_results(_thirds_archived(spark, sf_dir)))
+
+
 @query
 def trips_parquet_scan(spark, sf_dir):
     path = scratch_path(spark, "trips")
@@ -240,6 +284,22 @@ def snapshots_json_day(spark, sf_dir):
     return snap.read_snapshots(spark, path, day="2024-01-15").drop("last_reported")
 
 
+@query
+def snapshots_range(spark, sf_dir):
+    """Four days, of which one has no folder, from landed files and from those a stream wrote."""
+    landed, ingested = scratch_path(spark, "snapshots"), scratch_path(spark, "ingested")
+    readings = fx.snapshots(spark, sf_dir).filter(~F.col("snapshot_at").startswith("2024-01-16"))
+    sinks.append_snapshots(readings, landed)
+    streams.ingest_snapshots(spark, landed, ingested, scratch_path(spark, "state")).awaitTermination()
+    parts = [
+        snap.read_snapshots(spark, path, since="2024-01-14", until="2024-01-17", fmt=fmt)
+        .drop("last_reported")
+        .withColumn("fmt", F.lit(fmt))
+        for path, fmt in ((landed, "json"), (ingested, "parquet"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def snapshots_flattened(spark, sf_dir):
     return snap.flatten_snapshot(fx.snapshot_docs(spark, sf_dir), F.col("captured_at"))
@@ -266,21 +326,87 @@ def trips_sample(spark, sf_dir):
 
 @query
 def row_counts(spark, sf_dir):
+    """Trips, snapshots and stations are each read once, for the source and its staged rows."""
     return audit.row_counts(
         {
             "trips": clean(spark, sf_dir),
             "snapshots": fx.snapshots(spark, sf_dir),
             "stations": fx.stations(spark, sf_dir),
-            "stg_trips": staged_trips(spark, sf_dir),
-            "stg_snapshots": staged_snapshots(spark, sf_dir),
-            "stg_stations": staged_stations(spark, sf_dir),
-            "demand_hourly": hourly_demand(spark, sf_dir),
+            # One row per cell of departures: arrivals add none.
+            "demand_hourly": demand.departure_cells(staged_trips(spark, sf_dir)),
             "availability_hourly": hourly_supply(spark, sf_dir),
             "mart": stored_mart(spark, sf_dir),
-        }
+        },
+        {
+            "trips": {"stg_trips": staging.valid_trip(*staging.TRIP_MINUTES)},
+            "snapshots": {"stg_snapshots": staging.valid_snapshot()},
+            "stations": {"stg_stations": staging.valid_station()},
+        },
     )
 
 
+# Tables --------------------------------------------------------------------
+
+
+def _database(spark: SparkSession, label: str) -> str:
+    """A database of this run, below the scratch folder."""
+    path = scratch_path(spark, label)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+@query
+def table_stations_replaced(spark, sf_dir):
+    """The second load replaces the first, whole."""
+    table = sinks.qualified(_database(spark, "raw"), "station_info")
+    info = fx.stations(spark, sf_dir)
+    sinks.replace_station_info(info, table)
+    sinks.replace_station_info(info.filter("capacity > 0"), table)
+    return spark.table(table)
+
+
+@query
+def mart_published(spark, sf_dir):
+    """The mart as a clustered table that replaces an earlier one, read back."""
+    table = sinks.qualified(_database(spark, "marts"), "gap")
+    built = stored_mart(spark, sf_dir)
+    sinks.publish(built.limit(1), table, as_="table")
+    return sinks.publish(built, table, as_="table", cluster_by=["station_id", "hour_of_day"])
+
+
+@query
+def layer_tables(spark, sf_dir):
+    """Tables of a layer, among them none of a write under way."""
+    layer = _database(spark, "layer")
+    for name, rows in (("stations", fx.stations(spark, sf_dir)), ("files", fx.files(spark, sf_dir))):
+        sinks.publish(rows, sinks.qualified(layer, name), as_="table")
+        sinks.publish(rows, sinks.qualified(layer, name), as_="table")
+    return sinks.list_layer(spark, layer)
+
+
+@query
+def trips_months_replaced(spark, sf_dir):
+    """A later load with one month replaces that month and leaves the others."""
+    path = scratch_path(spark, "trips")
+    rows = clean(spark, sf_dir)
+    sinks.write_trips(rows, path, compact=True)
+    later = rows.filter("year = 1995 and month = 6 and member_casual = 'member'")
+    sinks.write_trips(later, path, compact=True)
+    read = trip_sources.read_trips(spark, path)
+    return read.groupBy("year", "month").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@query
+def storage_inventory(spark, sf_dir):
+    """Files of the trips by month, as listed after a write."""
+    path = scratch_path(spark, "trips")
+    sinks.write_trips(clean(spark, sf_dir), path, compact=True)
+    files = listing.list_files(spark, path, "*.parquet")
+    month = F.regexp_extract("key", "year=([0-9]+)/month=([0-9]+)/", 0)
+    return files.groupBy(month.alias("folder")).agg((F.min("size_bytes") > 0).alias("has_data"))
+
+
 # File listing --------------------------------------------------------------
 
 
@@ -551,16 +677,31 @@ def dq_unique(spark, sf_dir):
 
 @query
 def dq_accepted_values(spark, sf_dir):
-    riders = quality.accepted_values(clean(spark, sf_dir), "member_casual", RIDER_KINDS)
-    bikes = quality.accepted_values(clean(spark, sf_dir), "rideable_type", ["classic_bike"])
-    return riders.unionByName(bikes)
+    accepted = {"member_casual": RIDER_KINDS, "rideable_type": ["classic_bike"]}
+    return quality.column_checks(clean(spark, sf_dir), accepted=accepted)
 
 
 @query
 def dq_freshness(spark, sf_dir):
-    readings = fx.snapshots(spark, sf_dir)
-    parts = [quality.freshness(readings, "snapshot_at", as_of) for as_of in fx.FRESH_AS_OF.values()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return quality.freshness(fx.snapshots(spark, sf_dir), "snapshot_at", list(fx.FRESH_AS_OF.values()))
+
+
+@query
+def dq_sources(spark, sf_dir):
+    """The checks declared on the sources, with one scan of each."""
+    parts = {
+        "trips": quality.column_checks(
+            clean(spark, sf_dir), ["ride_id", "started_at_ts"], {"member_casual": RIDER_KINDS}
+        ),
+        "snapshots": quality.column_checks(
+            fx.snapshots(spark, sf_dir), ["station_id", "snapshot_at"]
+        ),
+        "stations": quality.column_checks(
+            fx.stations(spark, sf_dir), ["station_id", "name"], unique=["station_id"]
+        ),
+    }
+    named = [df.withColumn("source", F.lit(name)) for name, df in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 @query
@@ -589,19 +730,17 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _drain(stream: DataFrame, spark: SparkSession, mode: str, fmt: str = "parquet") -> DataFrame:
-    """Run ``stream`` over all files there are and read what it wrote."""
-    out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
-    schema = stream.schema
-
-    if mode == "append":
-        run = stream.writeStream.format(fmt).outputMode("append").option("path", out)
-    else:
-        # Each trigger replaces the result with the current totals.
-        run = stream.writeStream.outputMode("complete").foreachBatch(
-            lambda batch, _: batch.write.mode("overwrite").parquet(out)
-        )
-    run.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+def _in_two_runs(
+    spark: SparkSession, loads: list[DataFrame], build: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """What ``build`` appends when the loads arrive one by one and the stream runs after each."""
+    src, out, state = (scratch_path(spark, label) for label in ("landed", "out", "state"))
+    for load in loads:
+        sinks.append_snapshots(load, src)
+        stream = build(streams.stage_stream(spark, src))
+        schema = stream.schema
+        run = stream.writeStream.format("parquet").outputMode("append").option("path", out)
+        run.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(schema).parquet(out)
 
 
@@ -616,17 +755,24 @@ def stream_ingested(spark, sf_dir):
 
 @query
 def stream_deduped(spark, sf_dir):
-    src = _landed(spark, sf_dir)
-    # Every reading arrives twice.
-    sinks.append_snapshots(fx.snapshots(spark, sf_dir), src)
-    staged = streams.stage_stream(spark, src)
-    return _drain(streams.dedupe_snapshots(staged, "40 days"), spark, "append").select(
-        "station_id", "snapshot_at"
-    )
+    """Readings that arrive twice at once, and again in the next load while they are recent."""
+    readings = fx.snapshots(spark, sf_dir)
+    first = readings.filter("snapshot_at < '2024-01-16'")
+    second = readings.filter("snapshot_at >= '2024-01-15T23'")
+    return _in_two_runs(
+        spark,
+        [first.unionByName(first), second],
+        lambda staged: streams.dedupe_snapshots(staged, "2 hours"),
+    ).select("station_id", "snapshot_at")
 
 
 @query
 def stream_windowed_availability(spark, sf_dir):
-    staged = streams.stage_stream(spark, _landed(spark, sf_dir))
-    windows = streams.windowed_availability(staged, staged_stations(spark, sf_dir))
-    return _drain(windows, spark, "complete")
+    """The windows that closed, in append mode."""
+    readings = fx.snapshots(spark, sf_dir)
+    known = staged_stations(spark, sf_dir)
+    return _in_two_runs(
+        spark,
+        [readings.filter("snapshot_at < '2024-01-16'"), readings.filter("snapshot_at >= '2024-01-16'")],
+        lambda staged: streams.windowed_availability(staged, known),
+    )

@@ -23,16 +23,9 @@ OPTIONS = MartOptions(bands=BANDS)
 _TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
-    """A test table; with ``spread_by``, too few files are spread over the cores.
-
-    The test tables are one file with one row group, which is one task.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and len(rows.inputFiles()) < cores:
-        rows = rows.repartition(cores, *spread_by)
-    return rows
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _coordinate(base: float, key: Column) -> Column:
@@ -58,7 +51,7 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     start = at(offset)
     place = part % 100
-    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").join(
+    rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
         F.col("l_suppkey") == F.col("s_suppkey"),
     )

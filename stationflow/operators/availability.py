@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stationflow.functions import availability_ratio, exact_mean, normalise_name, round_half_up
-from stationflow.session import fits_broadcast
 
 STATION = ("station_id", "station_name", "latitude", "longitude", "total_capacity")
 
@@ -98,15 +97,12 @@ def hourly_availability_from(
     low: float = NEAR_EMPTY,
     high: float = NEAR_FULL,
 ) -> DataFrame:
-    """``hourly_availability(attach_capacity(snapshots, stations))``, planned by size.
+    """``hourly_availability(attach_capacity(snapshots, stations))`` from tallies.
 
-    With few stations the join is a broadcast and one aggregation follows. With
-    more than the broadcast threshold, snapshots are first reduced to one tally
-    per station, hour and bike count, so no raw reading is shuffled for the
-    join and a station with very many readings weighs no more than another.
+    Snapshots are first reduced to one tally per station, hour and bike count,
+    so no raw reading is shuffled for the join, whatever its kind, and a station
+    with very many readings weighs no more than another.
     """
-    if fits_broadcast(stations):
-        return hourly_availability(attach_capacity(snapshots, stations), low, high)
     tallies = (
         snapshots.withColumns(_tally_columns())
         .groupBy("station_id", "snapshot_hour", "num_bikes_available")

@@ -18,7 +18,8 @@ RANK_TIES = (*CELL, "station_name")
 def _departure_measures() -> dict[str, Column]:
     return {
         "total_departures": F.count(F.lit(1)),
-        "avg_trip_duration_minutes": exact_mean(F.col("trip_duration_minutes"), 2),
+        # Sums of millionths are exact and don't depend on the order of the rows.
+        "avg_trip_duration_minutes": exact_mean(F.col("trip_duration_minutes"), 6),
         "member_departures": F.count_if(F.col("member_casual") == MEMBER),
         "casual_departures": F.count_if(F.col("member_casual") == CASUAL),
         "ebike_departures": F.count_if(F.col("rideable_type") == ELECTRIC),
@@ -38,15 +39,24 @@ def _arrival_cell(bucket: str) -> tuple[Column, Column]:
     raise ValueError(f"bucket must be 'start' or 'end', not {bucket!r}")
 
 
-def departures(trips: DataFrame) -> DataFrame:
-    """Departures of staged trips per station, name, hour and weekday."""
-    return trips.groupBy(
+def _departure_keys() -> list[Column]:
+    return [
         F.col("start_station_id").alias("station_id"),
         F.col("start_station_name").alias("station_name"),
         F.col("start_hour").alias("hour_of_day"),
-        "start_day_of_week",
-        "start_day_name",
-    ).agg(*_aliased(_departure_measures()))
+        F.col("start_day_of_week"),
+        F.col("start_day_name"),
+    ]
+
+
+def departures(trips: DataFrame) -> DataFrame:
+    """Departures of staged trips per station, name, hour and weekday."""
+    return trips.groupBy(*_departure_keys()).agg(*_aliased(_departure_measures()))
+
+
+def departure_cells(trips: DataFrame) -> DataFrame:
+    """The cells that have departures, without their measures."""
+    return trips.select(*_departure_keys()).distinct()
 
 
 def arrivals(trips: DataFrame, bucket: str = "start") -> DataFrame:

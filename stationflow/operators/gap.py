@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.functions import gap_score, gap_severity, normalise_name
 from stationflow.functions.labels import SEVERITY_BANDS
 from stationflow.operators.ranking import (
-    drop_placement,
     number_rows,
     number_rows_within,
     place_in_order,
@@ -24,6 +23,8 @@ MART_TIES = (
     "supply_station_id",
 )
 
+_ROW = "_row"
+
 NameKey = Callable[[Column], Column]
 
 
@@ -108,16 +109,25 @@ def with_peak_flag(df: DataFrame) -> DataFrame:
 def rank_gaps(scored: DataFrame, bands: Sequence[float] = SEVERITY_BANDS) -> DataFrame:
     """Add the three ranks, the peak flag and the severity.
 
-    All ranks follow the same order, so the rows are placed once.
+    The scored rows are stored once. Only their keys and scores are placed in
+    order and ranked; the ranks come back to the stored rows by one join. A
+    station has a few hundred rows at most (its names times the hours of a
+    week), so its rank is a plain window.
     """
-    placed = place_in_order(scored, gap_order())
-    ranked = number_rows(placed, "overall_gap_rank")
-    ranked = number_rows_within(ranked, placed, "hour_of_day", "gap_rank_within_hour")
-    ranked = number_rows_within(ranked, placed, "station_id", "worst_hour_rank_for_station")
+    rows = materialise(scored.withColumn(_ROW, F.monotonically_increasing_id()), "scored")
+    placed = place_in_order(rows.select(_ROW, *MART_TIES, "supply_gap_score"), gap_order())
+    by_station = Window.partitionBy("station_id").orderBy(*gap_order())
+    in_station = F.row_number().over(by_station).cast("long")
+    ranks = (
+        number_rows(placed, "overall_gap_rank")
+        .transform(number_rows_within, placed, "hour_of_day", "gap_rank_within_hour")
+        .withColumn("worst_hour_rank_for_station", in_station)
+        .select(_ROW, "overall_gap_rank", "gap_rank_within_hour", "worst_hour_rank_for_station")
+    )
     return (
-        ranked.transform(with_peak_flag)
+        rows.join(ranks, _ROW)
+        .transform(with_peak_flag)
         .withColumn("gap_severity", gap_severity(F.col("supply_gap_score"), bands))
-        .transform(drop_placement)
         .select(
             *scored.columns,
             "overall_gap_rank",

@@ -28,11 +28,15 @@ def column_checks(
     df: DataFrame,
     not_null: Sequence[str] = (),
     accepted: Mapping[str, Sequence] | None = None,
+    unique: Sequence[str] = (),
 ) -> DataFrame:
-    """All not-null and accepted-values checks of a table in one pass.
+    """All not-null and accepted-values checks of a table in one pass, and ``unique`` checks in another.
 
     A NULL is no unaccepted value; a not-null check finds it.
     """
+    if unique:
+        repeats = repeated_values(df, unique)
+        return column_checks(df, not_null, accepted).unionByName(repeats)
     checks = [("not_null", name) for name in not_null]
     failures: list[Column] = [F.col(name).isNull() for name in not_null]
     for name, values in (accepted or {}).items():
@@ -52,7 +56,7 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return column_checks(df, accepted={column: values})
 
 
-def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def repeated_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Values that occur more than once, per column; NULLs are not compared.
 
     ``failing_rows`` counts the repeated values. Columns share one scan, and
@@ -76,23 +80,38 @@ def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _as_rows(totals, [("unique", name) for name in columns])
 
 
+def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``repeated_values`` under the name of the check."""
+    return repeated_values(df, columns)
+
+
+# Hours after which a source counts as late, and as failed.
+LATE_HOURS, FAILED_HOURS = 25, 49
+
+
+def _moment(value: datetime | Column) -> Column:
+    return value.cast("timestamp") if isinstance(value, Column) else F.lit(value.isoformat(" ")).cast("timestamp")
+
+
 def freshness(
     df: DataFrame,
     ts: str,
-    as_of: datetime | Column | None = None,
-    warn_h: float = 25,
-    error_h: float = 49,
+    as_of: datetime | Column | Sequence[datetime | Column] | None = None,
+    warn_h: float = LATE_HOURS,
+    error_h: float = FAILED_HOURS,
 ) -> DataFrame:
-    """Age of the newest row in hours, and pass, warn or error; an empty table is an error."""
+    """Age of the newest row in hours, and pass, warn or error; an empty table is an error.
+
+    Several times to compare with give a row each, from one scan.
+    """
     if as_of is None:
-        now = F.current_timestamp()
-    elif isinstance(as_of, Column):
-        now = as_of.cast("timestamp")
+        moments = [F.current_timestamp()]
     else:
-        now = F.lit(as_of.isoformat(" ")).cast("timestamp")
-    age = F.unix_timestamp(now) - F.unix_timestamp(F.col("latest"))
+        moments = [_moment(m) for m in (as_of if isinstance(as_of, (list, tuple)) else [as_of])]
+    age = F.unix_timestamp("_now") - F.unix_timestamp("latest")
     return (
         df.agg(F.max(F.col(ts).cast("timestamp")).alias("latest"))
+        .select("latest", F.explode(F.array(*moments)).alias("_now"))
         .select(
             F.lit("freshness").alias("check"),
             F.lit(ts).alias("column"),

@@ -90,11 +90,6 @@ def number_rows_within(
     )
 
 
-def drop_placement(df: DataFrame) -> DataFrame:
-    """Remove the helper columns of a placement."""
-    return df.drop(BUCKET, POSITION)
-
-
 def global_row_number(df: DataFrame, order: Order, name: str = "row_number") -> DataFrame:
     """``row_number`` over all rows in ``order``, on every task at once."""
     return number_rows(place_in_order(df, order), name).select(*df.columns, name)

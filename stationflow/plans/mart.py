@@ -33,6 +33,10 @@ class MartOptions:
     by_hour: bool = False
     clamp: bool = False
 
+    def __post_init__(self) -> None:
+        if self.by_hour and not self.tz:
+            raise ValueError("by_hour matches trips' local hours: name the stations' time zone as tz")
+
 
 def demand(trips: DataFrame, options: MartOptions = MartOptions()) -> DataFrame:
     """Hourly demand of clean trips."""

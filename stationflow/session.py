@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,26 +34,32 @@ def build_session(app_name: str = "stationflow", master: str | None = None, **co
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of its own: on a
-    cluster the other executors could not read it.
+    Without the setting, the folder given to ``setCheckpointDir``; there is no other.
     """
     configured = (
         spark.conf.get(CHECKPOINT_DIR, None)
         or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
         or spark.sparkContext.getCheckpointDir()
     )
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stationflow-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return configured.rstrip("/")
+
+
+def _scratch_of(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/stationflow-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under this application's part of the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/stationflow-{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_of(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete all that this application stored; results that still read it can't be used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_of(spark))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -67,13 +72,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's size estimate of ``df`` is within the broadcast threshold.
-
-    Reads the estimate only and runs no job. Tables of unknown size do not fit.
-    """
-    state = df.sparkSession._jsparkSession.sessionState()
-    limit = state.conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(str(size)) <= limit

@@ -1,89 +1,111 @@
 """Zipped trip files.
 
 Spark has no zip reader. Archives are listed by Spark, their members become
-rows, and every member is decompressed and parsed by one task in streamed
-Arrow batches, so memory does not grow with the archive. A deflated member
-cannot be split; parallelism comes from the number of members.
+rows, and every member is decompressed and parsed by one task, record by
+record, so memory does not grow with the member. A deflated member cannot be
+split; parallelism comes from the number of members.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import sys
 import zipfile
-from collections.abc import Iterator, Mapping
+import zlib
+from collections.abc import Callable, Iterator, Mapping
 from fnmatch import fnmatch
-from itertools import chain
+from typing import BinaryIO
 
 import pyarrow as pa
-import pyarrow.csv as pacsv
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stationflow.schemas import TRIP_RAW
 from stationflow.sources.trips import CORRUPT, fit_types
 
 ARCHIVE, MEMBER, ERROR = "_archive", "_member", "_error"
+_LINE = "_line"
 
-_BLOCK_BYTES = 8 << 20
+_BATCH_ROWS = 10_000
+_COPY_BYTES = 1 << 20
 
+# What a damaged archive or member raises. Anything else, such as a failed
+# read, ends the task, which Spark then tries again.
+DAMAGED = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
-def _open(path: str):
-    """A seekable file on any file system Arrow knows."""
-    if path.startswith("file:") or "://" not in path:
+# Hadoop's names for a file system that Arrow knows by another.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+Opener = Callable[[str], BinaryIO]
+
+
+def open_path(path: str) -> BinaryIO:
+    """A seekable file, local or on a file system Arrow knows; another scheme raises."""
+    scheme, mark, rest = path.partition("://")
+    if path.startswith("file:") or not mark:
         return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
-    system, name = fs.FileSystem.from_uri(path)
+    system, name = fs.FileSystem.from_uri(f"{_ARROW_SCHEMES.get(scheme, scheme)}://{rest}")
     return system.open_input_file(name)
 
 
-def _create(path: str):
-    """A file to write, on any file system Arrow knows."""
-    if path.startswith("file:") or "://" not in path:
-        return open("/" + path.removeprefix("file:").lstrip("/"), "wb")
-    system, name = fs.FileSystem.from_uri(path)
-    return system.open_output_stream(name)
+def _wanted(info: zipfile.ZipInfo, pattern: str) -> bool:
+    hidden = info.filename.startswith("__MACOSX/")
+    return not info.is_dir() and not hidden and fnmatch(info.filename.lower(), pattern)
+
 
+def _read_through(archive: zipfile.ZipFile, member: str) -> None:
+    """Read a member to its end, where its checksum is compared."""
+    with archive.open(member) as body:
+        while body.read(_COPY_BYTES):
+            pass
 
-def _header(archive: zipfile.ZipFile, member: str) -> list[str]:
-    with archive.open(member) as raw:
-        line = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="").readline()
-    return next(csv.reader([line]), [])
+
+def _records(body: BinaryIO) -> Iterator[tuple[list[str | None], str]]:
+    """Cells and text of each CSV record; a quoted cell may hold line breaks and be of any length."""
+    csv.field_size_limit(sys.maxsize)
+    held: list[str] = []
+
+    def lines() -> Iterator[str]:
+        for line in io.TextIOWrapper(body, encoding="utf-8-sig", errors="replace", newline=""):
+            held.append(line)
+            yield line
+
+    for cells in csv.reader(lines(), quoting=csv.QUOTE_NOTNULL):
+        text = "".join(held).rstrip("\r\n")
+        held.clear()
+        if cells:
+            yield cells, text
 
 
 def _member_batches(
-    path: str, member: str, columns: list[str], renames: Mapping[str, str]
-) -> Iterator[dict[str, list | pa.Array]]:
-    """Text columns of one CSV member in batches, then its malformed lines."""
-    malformed: list[str] = []
-
-    def keep(row: pacsv.InvalidRow) -> str:
-        malformed.append(row.text)
-        return "skip"
-
-    with _open(path) as raw, zipfile.ZipFile(raw) as archive:
-        header = [renames.get(name.strip(), name.strip()) for name in _header(archive, member)]
-        if not header:
-            return
-        with archive.open(member) as body:
-            reader = pacsv.open_csv(
-                body,
-                read_options=pacsv.ReadOptions(
-                    column_names=header, skip_rows=1, block_size=_BLOCK_BYTES
-                ),
-                parse_options=pacsv.ParseOptions(invalid_row_handler=keep),
-                convert_options=pacsv.ConvertOptions(
-                    column_types={name: pa.string() for name in header},
-                    null_values=[""],
-                    strings_can_be_null=True,
-                    quoted_strings_can_be_null=False,
-                ),
-            )
-            for batch in reader:
-                yield {
-                    name: batch.column(header.index(name)) for name in columns if name in header
-                }
-    if malformed:
-        yield {CORRUPT: malformed}
+    archive: zipfile.ZipFile, member: str, columns: list[str], renames: Mapping[str, str]
+) -> Iterator[dict[str, list[str | None]]]:
+    """Text columns of one CSV member, with each record's text and that of malformed ones."""
+    with archive.open(member) as body:
+        records = _records(body)
+        header = [renames.get(name.strip(), name.strip()) for name in next(records, ([], ""))[0] if name]
+        place = {name: header.index(name) for name in columns if name in header}
+        found: list[tuple[list[str | None], str]] = []
+
+        def batch() -> dict[str, list[str | None]]:
+            fit = [len(cells) == len(header) for cells, _ in found]
+            values = {
+                name: [cells[i] if ok else None for (cells, _), ok in zip(found, fit)]
+                for name, i in place.items()
+            }
+            values[_LINE] = [text for _, text in found]
+            values[CORRUPT] = [None if ok else text for (_, text), ok in zip(found, fit)]
+            return values
+
+        for record in records:
+            found.append(record)
+            if len(found) >= _BATCH_ROWS:
+                yield batch()
+                found = []
+        if found:
+            yield batch()
 
 
 def unpack_trip_archives(
@@ -93,63 +115,57 @@ def unpack_trip_archives(
     renames: Mapping[str, str] | None = None,
     members: str = "*.csv",
     parallelism: int | None = None,
+    opener: Opener = open_path,
 ) -> DataFrame:
     """Rows of all CSV members of all zip archives under ``path``.
 
     Columns bind by header name after ``renames``, so members may order them
-    differently and older layouts may lack some. Adds ``_corrupt_record`` for
-    malformed lines, the archive and member, and ``_error`` on a row of its own
-    for an archive or member that cannot be read; the others still load.
+    differently and older layouts may lack some. Adds ``_corrupt_record`` with
+    the text of a malformed record, the archive and member, and ``_error`` on a
+    row of its own for a damaged archive or member. A member is read to its
+    end once before its rows are, so a damaged one gives that row only. A read
+    that fails for another reason fails the task. ``opener`` opens a path of a
+    file system that Arrow does not know.
     """
     columns = schema.fieldNames()
     renames = dict(renames or {})
-    out = [*columns, CORRUPT, ARCHIVE, MEMBER, ERROR]
+    out = [*columns, CORRUPT, _LINE, ARCHIVE, MEMBER, ERROR]
     arrow_out = pa.schema([(name, pa.string()) for name in out])
 
     def list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for archive_path in batch.column("path").to_pylist():
-                try:
-                    with _open(archive_path) as raw, zipfile.ZipFile(raw) as archive:
-                        names = [
-                            i.filename
-                            for i in archive.infolist()
-                            if not i.is_dir()
-                            and not i.filename.startswith("__MACOSX/")
-                            and fnmatch(i.filename.lower(), members)
-                        ]
-                    rows += [(archive_path, name, None) for name in names]
-                except Exception as error:  # reported as a row, the batch goes on
-                    rows.append((archive_path, None, f"{type(error).__name__}: {error}"))
+            rows: list[tuple[str, str | None, str | None]] = []
+            for name in batch.column("path").to_pylist():
+                with opener(name) as raw:
+                    try:
+                        with zipfile.ZipFile(raw) as archive:
+                            infos = [i for i in archive.infolist() if _wanted(i, members)]
+                        rows += [(name, i.filename, None) for i in infos]
+                    except DAMAGED as error:
+                        rows.append((name, None, f"{type(error).__name__}: {error}"))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], pa.string()) for i in range(3)],
                 names=[ARCHIVE, MEMBER, ERROR],
             )
 
     def read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(values: Mapping, rows: int, archive, member, error=None) -> pa.RecordBatch:
-            fixed = {ARCHIVE: archive, MEMBER: member, ERROR: error}
-            arrays = []
-            for name in out:
-                if name in values:
-                    arrays.append(pa.array(values[name], pa.string())
-                                  if isinstance(values[name], list) else values[name])
-                else:
-                    arrays.append(pa.array([fixed.get(name)] * rows, pa.string()))
-            return pa.RecordBatch.from_arrays(arrays, schema=arrow_out)
+        def emit(values: Mapping[str, list], rows: int, **fixed: str | None) -> pa.RecordBatch:
+            cells = [values.get(name, [fixed.get(name)] * rows) for name in out]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cells], schema=arrow_out)
 
         for batch in batches:
             for row in batch.to_pylist():
-                archive, member, error = row[ARCHIVE], row[MEMBER], row[ERROR]
-                if error is not None:
-                    yield emit({}, 1, archive, member, error)
+                if row[ERROR] is not None:
+                    yield emit({}, 1, **row)
                     continue
-                try:
-                    for values in _member_batches(archive, member, columns, renames):
-                        yield emit(values, len(next(iter(values.values()))), archive, member)
-                except Exception as failure:  # reported as a row, the batch goes on
-                    yield emit({}, 1, archive, member, f"{type(failure).__name__}: {failure}")
+                with opener(row[ARCHIVE]) as raw, zipfile.ZipFile(raw) as archive:
+                    try:
+                        _read_through(archive, row[MEMBER])
+                    except DAMAGED as error:
+                        yield emit({}, 1, **{**row, ERROR: f"{type(error).__name__}: {error}"})
+                        continue
+                    for values in _member_batches(archive, row[MEMBER], columns, renames):
+                        yield emit(values, len(values[_LINE]), **row)
 
     listing = (
         spark.read.format("binaryFile")
@@ -168,39 +184,7 @@ def unpack_trip_archives(
         .repartition(tasks, ARCHIVE, MEMBER)
         .mapInArrow(read_members, ", ".join(f"{name} string" for name in out))
     )
-    return fit_types(text, schema, CORRUPT)
-
-
-def write_trip_archives(df: DataFrame, path: str) -> DataFrame:
-    """Trips as zip archives, one CSV member and one archive per task; returns their names.
-
-    Lines go to the archive as they arrive. A task that is retried replaces its
-    archive.
-    """
-    header = ",".join(df.columns)
-    options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    lines = df.select(
-        F.to_csv(F.struct(*df.columns), options).alias("line"),
-        F.spark_partition_id().alias("part"),
-    )
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = next(batches, None)
-        while first is not None and first.num_rows == 0:
-            first = next(batches, None)
-        if first is None:
-            return
-        name = f"trips-{first.column('part')[0].as_py():05d}"
-        target = f"{path}/{name}.zip"
-        with _create(target) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
-            with archive.open(f"{name}.csv", "w", force_zip64=True) as member:
-                member.write(f"{header}\n".encode())
-                for batch in chain([first], batches):
-                    for line in batch.column("line"):
-                        member.write(line.as_buffer().to_pybytes() + b"\n")
-        yield pa.RecordBatch.from_arrays([pa.array([target])], names=["path"])
-
-    return lines.mapInArrow(write, "path string")
+    return fit_types(text, schema, CORRUPT, _LINE)
 
 
 def archive_results(unpacked: DataFrame) -> DataFrame:
@@ -218,3 +202,7 @@ def ingest_report(results: DataFrame) -> DataFrame:
     """Files that loaded and files that failed."""
     status = F.when(F.col("error").isNull(), F.lit("success")).otherwise(F.lit("error"))
     return results.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("files"))
+
+
+# The readers travel with their code, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -59,12 +59,13 @@ def skip_loaded(listing: DataFrame, manifest: DataFrame, key: str = "key") -> Da
     return listing.join(manifest.select(key), key, "left_anti")
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Key (path below ``path``) and size of every file; file contents are not read."""
+def list_files(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
+    """Key (path below ``path``) and size of every file with a name like ``files``; contents are not read."""
     root = path.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", files)
         .load(path)
         .select("path", "length")
     )

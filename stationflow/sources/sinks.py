@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -40,7 +41,12 @@ def append_snapshots(df: DataFrame, path: str, fmt: str = "json") -> None:
 
 def replace_station_info(df: DataFrame, table: str) -> None:
     """Replace the station reference table as a whole."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    publish(df, table, as_="table")
+
+
+def _quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def register_external(
@@ -59,13 +65,13 @@ def register_external(
     if schema is not None:
         listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         columns = f" ({listed})"
-    given = ", ".join(f"'{k}' '{v}'" for k, v in extra.items())
+    given = ", ".join(f"{_quoted(k)} {_quoted(v)}" for k, v in extra.items())
     layout = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     spark.sql(
         f"CREATE TABLE {name}{columns} USING {fmt}"
         + (f" OPTIONS ({given})" if given else "")
         + layout
-        + f" LOCATION '{path}'"
+        + f" LOCATION {_quoted(path)}"
     )
     if partitioned_by:
         spark.catalog.recoverPartitions(name)
@@ -95,6 +101,8 @@ def publish(
 
     ``cluster_by`` sorts the files, so that row groups of a column chunk can be
     skipped; with ``buckets`` it also co-locates later joins on those columns.
+    A table is written beside an earlier one of its name, which stays readable
+    until the new one is complete and takes the name over.
     """
     spark = df.sparkSession
     if as_ == "view":
@@ -108,12 +116,19 @@ def publish(
         rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(
             *partition_by, *cluster_by
         )
-    writer = rows.write.mode("overwrite").format("parquet")
+    writer = rows.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if buckets:
         writer = writer.bucketBy(buckets, *cluster_by).sortBy(*cluster_by)
-    writer.saveAsTable(name)
+    draft, former = (f"{name}_{kind}_{uuid.uuid4().hex[:12]}" for kind in ("draft", "former"))
+    writer.saveAsTable(draft)
+    replaces = spark.catalog.tableExists(name)
+    if replaces:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {former}")
+    spark.sql(f"ALTER TABLE {draft} RENAME TO {name}")
+    if replaces:
+        spark.sql(f"DROP TABLE {former}")
     return spark.table(name)
 
 

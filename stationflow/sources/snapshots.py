@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from stationflow.schemas import SNAPSHOT, SNAPSHOT_DOC, STATION_DOC
 
+PARTITION = "snapshot_date"
+
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
@@ -16,19 +18,33 @@ def read_snapshots(
     path: str,
     schema: T.StructType | None = SNAPSHOT,
     day: str | date | None = None,
+    since: str | date | None = None,
+    until: str | date | None = None,
+    fmt: str = "json",
 ) -> DataFrame:
-    """Snapshot rows from line JSON: a whole tree, or one ``day`` of it.
+    """Snapshot rows from line JSON or Parquet: a whole tree, one ``day`` of it, or a range of days.
 
-    A day given as ``2026/06/15`` is a folder below ``path``; a date or
-    ``2026-06-15`` selects the ``snapshot_date`` partition that
-    ``append_snapshots`` writes. ``schema=None`` infers the columns.
+    A day given as ``2026/06/15`` is a folder below ``path``. A date or
+    ``2026-06-15``, and ``since`` and ``until`` (both inclusive), select the
+    ``snapshot_date`` partitions that ``append_snapshots`` and
+    ``ingest_snapshots`` write; only their folders are read, and days without
+    one give no rows. ``schema=None`` infers the columns.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    if day is None:
-        return reader.option("recursiveFileLookup", True).json(path)
+    reader = (spark.read if schema is None else spark.read.schema(schema)).format(fmt)
     if isinstance(day, str) and "/" in day:
-        return reader.json(f"{path.rstrip('/')}/{day}")
-    return reader.json(f"{path.rstrip('/')}/snapshot_date={day}")
+        return reader.load(f"{path.rstrip('/')}/{day}")
+    if day is not None:
+        since = until = day
+    if since is None and until is None:
+        return reader.option("recursiveFileLookup", True).load(path)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(PARTITION, T.DateType())]))
+    rows, taken = reader.load(path), F.col(PARTITION).cast("date")
+    if since is not None:
+        rows = rows.filter(taken >= F.lit(str(since)).cast("date"))
+    if until is not None:
+        rows = rows.filter(taken <= F.lit(str(until)).cast("date"))
+    return rows.drop(PARTITION)
 
 
 def read_snapshot_documents(

@@ -28,11 +28,10 @@ class TripLayout:
     folder: str | None = None
 
 
-def fit_types(text: DataFrame, schema: T.StructType, corrupt_col: str) -> DataFrame:
-    """Cast text columns to ``schema``; a value that does not fit marks its row.
+def fit_types(text: DataFrame, schema: T.StructType, corrupt_col: str, line_col: str) -> DataFrame:
+    """Cast text columns to ``schema``; a value that does not fit marks its row with ``line_col``.
 
-    As an expression the mark is the same whichever columns a query goes on to
-    use. The reader's own check covers only the columns that survive pruning.
+    As an expression the mark is the same whichever columns a query goes on to use.
     """
     unfit = F.lit(False)
     for f in schema:
@@ -40,9 +39,8 @@ def fit_types(text: DataFrame, schema: T.StructType, corrupt_col: str) -> DataFr
             unfit = unfit | (
                 F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
             )
-    line = F.to_csv(F.struct(*schema.fieldNames()))
-    corrupt = F.coalesce(F.col(corrupt_col), F.when(unfit, line)).alias(corrupt_col)
-    known = {*schema.fieldNames(), corrupt_col}
+    corrupt = F.coalesce(F.col(corrupt_col), F.when(unfit, F.col(line_col))).alias(corrupt_col)
+    known = {*schema.fieldNames(), corrupt_col, line_col}
     return text.select(
         *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema),
         corrupt,
@@ -68,14 +66,16 @@ def _read_csv(
         return reader.option("inferSchema", True).csv(path)
     if not corrupt_col:
         return reader.schema(schema).csv(path)
-    text = [T.StructField(name, T.StringType()) for name in [*schema.fieldNames(), corrupt_col]]
+    typed = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
     rows = (
-        reader.schema(T.StructType(text))
+        reader.schema(typed)
         .option("columnNameOfCorruptRecord", corrupt_col)
         .option("columnPruning", False)  # so that every line's columns are counted
         .csv(path)
     )
-    return fit_types(rows, schema, corrupt_col)
+    # The reader checks the values of the columns that are asked of it. Through
+    # the one-row generator that is all of them, whatever a query goes on to use.
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
 def read_trips_csv(

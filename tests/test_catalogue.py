@@ -4,9 +4,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
-
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+from catalogue.oracle import ORACLE as SQL
+from catalogue.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +26,11 @@ def test_entry(spark):
     assert entry_point.entry(spark).count() == 10
 
 
+def test_entry_registers_the_catalogue():
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert SQL.items() <= entry_point.oracle_sql().items()
+
+
 @pytest.mark.parametrize(
     "sf_name, raw, clean, staged, cells, mart",
     [("0.001", 6000, 5714, 5298, 213, 1107), ("0.01", 60000, 57143, 53479, 1974, 14755)],

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from stationflow.session import CHECKPOINT_DIR, fits_broadcast, materialise, scratch_root
+from stationflow.session import CHECKPOINT_DIR, clear_scratch, materialise, scratch_path, scratch_root
 
 
 def fake_session(master, configured=None):
@@ -24,11 +24,10 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scratch_root(fake_session("yarn", "hdfs://name/shared/")) == "hdfs://name/shared"
 
 
-def test_only_a_local_session_makes_its_own_folder():
-    local = fake_session("local[2]")
-    assert scratch_root(local) == scratch_root(local)
-    with pytest.raises(RuntimeError, match=CHECKPOINT_DIR):
-        scratch_root(fake_session("spark://host:7077"))
+def test_no_session_makes_a_folder_of_its_own():
+    for master in ("local[2]", "local-cluster[1,1,1024]", "spark://host:7077"):
+        with pytest.raises(RuntimeError, match=CHECKPOINT_DIR):
+            scratch_root(fake_session(master))
 
 
 def test_materialise_keeps_rows_and_schema(spark):
@@ -37,7 +36,15 @@ def test_materialise_keeps_rows_and_schema(spark):
     assert rows(stored) == rows(df) and stored.dtypes == df.dtypes
 
 
-def test_size_check(spark):
-    assert fits_broadcast(materialise(spark.range(10), "small"))
-    # A table of unknown size counts as too large.
-    assert not fits_broadcast(spark.createDataFrame([(1,)], "x int").join(spark.range(10**9), how="left"))
+def test_stored_tables_can_be_removed():
+    """Of one application only; run in a session's own folder."""
+    calls = []
+    path = SimpleNamespace(getFileSystem=lambda _: SimpleNamespace(delete=lambda p, deep: calls.append((p, deep)) or True))
+    hadoop = SimpleNamespace(Path=lambda name: calls.append(name) or path)
+    session = fake_session("yarn", "hdfs://name/shared")
+    session.sparkContext.applicationId = "app-1"
+    session.sparkContext._jvm = SimpleNamespace(org=SimpleNamespace(apache=SimpleNamespace(hadoop=SimpleNamespace(fs=hadoop))))
+    session.sparkContext._jsc = SimpleNamespace(hadoopConfiguration=lambda: None)
+    assert clear_scratch(session)
+    assert calls == ["hdfs://name/shared/stationflow-app-1", (path, True)]
+    assert scratch_path(session, "t").startswith("hdfs://name/shared/stationflow-app-1/t-")
