@@ -47,31 +47,35 @@ def rule_of(rules: dict[str, str], host: str = "host", path: str = "path") -> Co
 
 
 def url_tokens(host: str = "host", path: str = "path", url: str = "url") -> Column:
-    """Distinct tokens of a url: host suffixes, path segments, suffix, query keys. Numbers count by their first digit."""
+    """Distinct tokens of a url: top-level domain, domain, other host labels, two path segments, query keys.
+
+    A number in the path counts by its first digit. The tokens imply each other as little as can be, as
+    every token that goes with another doubles the combinations.
+    """
     labels = F.split(F.col(host), r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.concat(F.lit("host="), F.array_join(F.slice(labels, i, F.size(labels)), ".")),
-    )
-    segments = F.filter(F.split(F.col(path), "/"), lambda s: s != "")
-    shape = lambda s: F.regexp_replace(s, r"^([0-9])[0-9]*", r"$1#")
-    places = F.transform(segments, lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit("="), shape(s)))
-    keys = F.transform(
-        F.regexp_extract_all(F.col(url), F.lit(r"[?&]([^=&#]+)="), F.lit(1)), lambda k: F.concat(F.lit("key="), k)
+    first = F.get(F.split(F.col(path), "/"), F.lit(1))
+    second = F.regexp_replace(F.get(F.split(F.col(path), "/"), F.lit(2)), r"^([0-9])[0-9]*.*", r"$1#")
+    names = F.array(
+        F.concat(F.lit("tld="), F.element_at(labels, -1)),
+        F.when(F.size(labels) > 1, F.concat(F.lit("domain="), F.element_at(labels, -2))),
+        F.when(first != "", F.concat(F.lit("path1="), first)),
+        F.when(second != "", F.concat(F.lit("path2="), second)),
     )
-    scheme = F.array(F.concat(F.lit("scheme="), F.translate(F.substring_index(F.col(url), "://", 1), UPPER, LOWER)))
-    return F.sort_array(F.array_distinct(F.concat(scheme, suffixes, places, keys)))
+    others = F.transform(F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(0))), lambda x: F.concat(F.lit("host="), x))
+    keys = F.transform(F.regexp_extract_all(F.col(url), F.lit(r"[?&]([^=&#]+)="), F.lit(1)), lambda k: F.concat(F.lit("key="), k))
+    return F.sort_array(F.array_distinct(F.array_compact(F.concat(names, others, keys))))
 
 
-def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, min_rows: int = 5) -> DataFrame:
     """Association rules `tokens` -> `label` from rows of `tokens` and `label`, with `confidence` and `support`.
 
-    FP-growth finds the combinations that at least `min_support` of the rows
+    FP-growth finds the combinations that at least `min_support` of the rows, and `min_rows` of them,
     have; a rule is kept when at least `min_confidence` of the rows with its
     tokens have its label. Their number is bounded by the support, not by the data.
     """
     items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    support = min(1.0, max(min_support, min_rows / max(1, labelled.count())))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
     verdict = F.element_at("consequent", 1)
     return (
         model.associationRules.where(verdict.startswith(_LABEL) & ~F.exists("antecedent", lambda t: t.startswith(_LABEL)))
@@ -103,7 +107,7 @@ def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge_urls(
-    df: DataFrame, rules: dict[str, str] | None = None, min_support: float = 0.005, min_confidence: float = 0.8
+    df: DataFrame, rules: dict[str, str] | None = None, min_support: float = 0.01, min_confidence: float = 0.8
 ) -> DataFrame:
     """`page_id`, `host`, `path`, `rule` and `verdict` per row of `df` (`page_id`, `url`); other columns are not read.
 
