@@ -122,16 +122,31 @@ def publish(
     if buckets:
         writer = writer.bucketBy(buckets, *cluster_by).sortBy(*cluster_by)
     draft, former = (f"{name}_{kind}_{uuid.uuid4().hex[:12]}" for kind in ("draft", "former"))
+    if partition_by:
+        # A renamed table keeps its partitions only where its files stay in place.
+        database = name.rpartition(".")[0] or spark.catalog.currentDatabase()
+        folder = spark.catalog.getDatabase(database).locationUri
+        writer = writer.option("path", f"{folder}/{draft.rpartition('.')[2]}")
     writer.saveAsTable(draft)
     replaces = spark.catalog.tableExists(name)
     if replaces:
         spark.sql(f"ALTER TABLE {name} RENAME TO {former}")
     spark.sql(f"ALTER TABLE {draft} RENAME TO {name}")
     if replaces:
-        spark.sql(f"DROP TABLE {former}")
+        _drop_with_files(spark, former)
     return spark.table(name)
 
 
+def _drop_with_files(spark: SparkSession, name: str) -> None:
+    """Drop a table that ``publish`` wrote, and its files where the catalogue doesn't."""
+    details = dict(spark.sql(f"DESCRIBE TABLE EXTENDED {name}").select("col_name", "data_type").collect())
+    spark.sql(f"DROP TABLE {name}")
+    if details.get("Type") == "EXTERNAL" and "_draft_" in details["Location"].rsplit("/", 1)[-1]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(details["Location"])
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.delete(path, True)
+
+
 def list_layer(spark: SparkSession, database: str) -> DataFrame:
     """Names and types of the tables of a layer."""
     rows = [(t.name, t.tableType) for t in spark.catalog.listTables(database)]

@@ -1,3 +1,4 @@
+import os
 import sys
 import tempfile
 from pathlib import Path
@@ -17,7 +18,7 @@ def spark():
     root = tempfile.mkdtemp(prefix="stationflow-tests-")
     session = build_session(
         "tests",
-        "local[8]",
+        os.environ.get("TESTS_MASTER", "local[8]"),
         spark__driver__memory="6g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

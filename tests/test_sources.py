@@ -1,6 +1,11 @@
 import io
+import random
+import re
+import subprocess
+import sys
 import zipfile
-from datetime import datetime
+from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from conftest import plan_of, rows
@@ -130,6 +135,87 @@ def test_large_member_is_streamed_whole(spark, tmp_path):
     assert df.select(F.count(F.lit(1)), F.count_distinct("ride_id"), corrupt).first() == (150_000, 150_000, 0)
 
 
+def one_member(path, name, text):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        out.writestr(name, text)
+
+
+def test_quoted_line_breaks_anywhere(spark, tmp_path):
+    """Cells with line breaks all through a member, and one longer than any buffer."""
+    cell = '"W 4 St\n""E"",\r\n\nN"'
+    lines = [GOOD.replace("r1", f"r-{i}").replace(",A,", f",{cell},") for i in range(60_000)]
+    long_line = GOOD.replace("r1", "long").replace(",A,", ',"' + "x\n" * 5_000_000 + '",')
+    one_member(tmp_path / "a.zip", "a.csv", "\n".join([HEADER, *lines[:30_000], long_line, *lines[30_000:]]))
+    df = archives.unpack_trip_archives(spark, str(tmp_path))
+    named = F.count_if(F.col("start_station_name") == 'W 4 St\n"E",\r\n\nN')
+    longest, corrupt = F.max(F.length("start_station_name")), F.count("_corrupt_record")
+    assert df.select(F.count_distinct("ride_id"), named, longest, corrupt).first() == (60_001, 60_000, 10_000_000, 0)
+
+
+@pytest.mark.parametrize("damage", ["cut", "changed"])
+def test_a_damaged_member_gives_no_rows(spark, tmp_path, damage):
+    rng = random.Random(1)
+    body = "\n".join([HEADER, *(GOOD.replace("r1", str(rng.random())) for _ in range(50_000))])
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        out.writestr("bad.csv", body)
+        out.writestr("good.csv", f"{HEADER}\n{GOOD}\n")
+        size = out.getinfo("bad.csv").compress_size
+    raw = bytearray(path.read_bytes())
+    raw[size // 2 : size // 2 + (1 if damage == "changed" else 2000)] = b"\xff" * (1 if damage == "changed" else 2000)
+    path.write_bytes(bytes(raw))
+    df = archives.unpack_trip_archives(spark, str(tmp_path))
+    assert rows(df.filter("_error is null").select("_member", "ride_id")) == [("good.csv", "r1")]
+    assert [r["_member"] for r in df.filter("_error is not null").collect()] == ["bad.csv"]
+    results = archives.archive_results(df)
+    assert rows(archives.ingest_report(results)) == [("error", 1), ("success", 1)]
+
+
+def test_paths_of_archives(monkeypatch):
+    asked = []
+
+    class System:
+        def open_input_file(self, name):
+            return name
+
+    def from_uri(uri):
+        asked.append(uri)
+        return System(), uri.split("://")[1]
+
+    monkeypatch.setattr(archives, "fs", SimpleNamespace(FileSystem=SimpleNamespace(from_uri=from_uri)))
+    assert archives.open_path("s3a://bucket/a.zip") == "bucket/a.zip" and archives.open_path("hdfs://n/b") == "n/b"
+    assert asked == ["s3://bucket/a.zip", "hdfs://n/b"]
+    monkeypatch.undo()
+    with pytest.raises(Exception, match="nosuch"):
+        archives.open_path("nosuch://x/a.zip")
+    with pytest.raises(OSError):
+        archives.open_path("/no/such/file.zip")
+
+
+def test_failed_reads_fail_the_task(spark, zip_dir):
+    """They are no damage: Spark tries the task again."""
+
+    def opener(path):
+        raise OSError("storage is away")
+
+    with pytest.raises(Exception, match="storage is away"):
+        archives.unpack_trip_archives(spark, zip_dir, opener=opener).collect()
+
+
+def test_readers_travel_with_their_code():
+    from pyspark import cloudpickle
+
+    code = "import pickle,sys; f = pickle.loads(sys.stdin.buffer.read()); print(f.__name__)"
+    found = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(archives.open_path), cwd="/", capture_output=True)
+    assert found.stdout.decode().strip() == "open_path", found.stderr.decode()
+
+
+def test_corrupt_lines_are_the_files_text(spark, csv_dir):
+    df = trips.read_trips_csv(spark, csv_dir, corrupt_col="_corrupt_record")
+    kept = df.filter("_corrupt_record is not null").select("_corrupt_record")
+    assert sorted(r[0] for r in kept.collect()) == sorted([BAD_NUMBER, SHORT, LONG])
+
+
 def test_partitioned_trips(spark, csv_dir, tmp_path):
     target = str(tmp_path / "trips")
     loaded, counts = plans.load_trips(spark, csv_dir, target)
@@ -186,6 +272,11 @@ def test_snapshot_rows_by_day(spark, tmp_path):
     sinks.append_snapshots(df, path)
     assert snap.read_snapshots(spark, path).count() == 4
     assert {r.station_id for r in snap.read_snapshots(spark, path, day="2024-01-02").collect()} == {"b"}
+    ranged = snap.read_snapshots(spark, path, since="2024-01-02", until=date(2024, 1, 5))
+    assert [r.station_id for r in ranged.collect()] == ["b", "b"] and "snapshot_date" not in ranged.columns
+    assert re.search(r"PartitionFilters: \[[^]]*snapshot_date", plan_of(ranged))
+    assert snap.read_snapshots(spark, path, since="2024-02-01").count() == 0
+    assert snap.read_snapshots(spark, path, until="2024-01-01").count() == 2
     (tmp_path / "feed/2024/01/03").mkdir(parents=True)
     (tmp_path / "feed/2024/01/03/x.json").write_text('{"station_id":"c"}\n')
     by_folder = snap.read_snapshots(spark, str(tmp_path / "feed"), schema=None, day="2024/01/03")
@@ -229,14 +320,22 @@ def test_tables(spark, tmp_path):
     sinks.replace_station_info(df, "raw.stations")
     sinks.replace_station_info(df.limit(7), "raw.stations")
     assert spark.table("raw.stations").count() == 7
+    # The query reads the table that it replaces.
+    sinks.publish(spark.table("raw.stations").limit(3), "raw.stations", "table")
+    assert spark.table("raw.stations").count() == 3
     plain = sinks.publish(df, "marts.gap", "table", cluster_by=["station_id", "hour_of_day"])
     bucketed = sinks.publish(
         df, "marts.gap_bucketed", "table", partition_by=["hour_of_day"], cluster_by=["station_id"], buckets=4
     )
     assert plain.count() == bucketed.count() == 100
+    bucketed = sinks.publish(
+        df.limit(50), "marts.gap_bucketed", "table", partition_by=["hour_of_day"], cluster_by=["station_id"], buckets=4
+    )
+    assert bucketed.count() == 50
+    assert len([f for f in spark.catalog.listTables("marts") if f.name.startswith("gap_bucketed")]) == 1
     grouped = plan_of(bucketed.groupBy("station_id").count()).split("== Physical Plan ==")[1]
     assert "Exchange" not in grouped
-    assert [tuple(r) for r in sinks.list_layer(spark, "marts").collect()] == [("gap", "MANAGED"), ("gap_bucketed", "MANAGED")]
+    assert [tuple(r) for r in sinks.list_layer(spark, "marts").collect()] == [("gap", "MANAGED"), ("gap_bucketed", "EXTERNAL")]
     view = sinks.publish(df.limit(3), "few")
     assert view.count() == 3
     with pytest.raises(ValueError):
