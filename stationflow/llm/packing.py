@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm.scratch import stored
-from stationflow.llm.tokens import WordTokenizer
+from stationflow.llm.tokens import WordTokenizer, slices
 
-_SLICE = 256
 _PIECE = "level int, part long, seq long, closed boolean, at long, doc_id long, start long, length long, doc_tokens long, ids binary"
 _NAMES = [f.split()[0] for f in _PIECE.split(", ")]
 _FIELDS = pa.schema([
@@ -105,8 +104,6 @@ def _rows(pieces: list[tuple], closed: bool) -> list[tuple]:
 
 
 def _packer(path: str, end_id: int, capacity: int, windows: int):
-    end = end_id.to_bytes(4, "little")
-
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.record_batch([pa.array(x, f.type) for x, f in zip(zip(*rows), _FIELDS)], schema=_FIELDS)
 
@@ -114,11 +111,12 @@ def _packer(path: str, end_id: int, capacity: int, windows: int):
         words = WordTokenizer.load(path)
         packer = Packer(0, TaskContext.get().partitionId(), capacity, windows)
         for batch in batches:
-            for at in range(0, batch.num_rows, _SLICE):
-                some = batch.slice(at, _SLICE)
-                for doc_id, ids in zip(some["doc_id"].to_pylist(), words.encode(some["text"].to_pylist())):
-                    ids += end
-                    packer.add((doc_id, 0, len(ids) // 4, len(ids) // 4, ids))
+            for some in slices(batch, "text"):
+                raw, lengths = words.encode_documents(some["text"], end_id)
+                at = 0
+                for doc_id, n in zip(some["doc_id"].to_pylist(), lengths.tolist()):
+                    packer.add((doc_id, 0, n, n, raw[4 * at : 4 * (at + n)]))
+                    at += n
                 if rows := _rows(packer.closed(), True):
                     yield batch_of(rows)
         if rows := [r for pieces in packer.open.values() for r in _rows(pieces, False)]:

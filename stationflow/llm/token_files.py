@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.llm.scratch import new_path, stored
-from stationflow.llm.tokens import WordTokenizer
+from stationflow.llm.tokens import WordTokenizer, id_column, ids_in, slices
 
 MAGIC = b"HUF1"
 _HEAD = struct.Struct("<4s4I")
-_SLICE = 256
+_PACKED = 1 << 15
 
 
 def code_lengths(counts: np.ndarray, max_bits: int) -> np.ndarray:
@@ -75,25 +75,31 @@ class Coder:
     """Packs and unpacks ids with one canonical code."""
 
     def __init__(self, bits: np.ndarray):
-        self.bits, self.codes = bits, canonical_codes(bits)
+        self.bits, self.codes = bits, canonical_codes(bits).astype(np.uint64)
         self.most = max(1, int(bits.max(initial=0)))
         self._table: tuple[np.ndarray, np.ndarray] | None = None
 
     def pack(self, ids: np.ndarray, stride: int) -> tuple[bytes, np.ndarray]:
         """The bits of `ids` and the bit offset of every `stride`-th of them."""
-        lengths = self.bits[ids].astype(np.int64)
-        ends = np.cumsum(lengths)
-        at = ends - lengths
-        total = int(ends[-1]) if len(ids) else 0
+        lengths = self.bits[ids]
+        total = int(lengths.sum(dtype=np.int64))
         words = np.zeros(total // 32 + 2, np.uint32)
-        if len(ids):
-            shift = (64 - (at & 31) - lengths).astype(np.uint64)
-            both = self.codes[ids].astype(np.uint64) << shift
+        offsets = np.empty(-(-len(ids) // stride), "<u8")
+        done = 0
+        for start in range(0, len(ids), step := _PACKED // stride * stride or stride):  # within the processor's cache
+            n = lengths[start : start + step].astype(np.int64)
+            ends = done + np.cumsum(n)
+            at = ends - n
+            done = int(ends[-1])
+            offsets[start // stride : start // stride + -(-len(n) // stride)] = at[::stride]
+            both = self.codes[ids[start : start + step]] << (64 - (at & 31) - n).view(np.uint64)
             word = at >> 5
             first = np.flatnonzero(np.diff(word, prepend=-1))
-            words[word[first]] |= np.bitwise_or.reduceat(both >> np.uint64(32), first).astype(np.uint32)
-            words[word[first] + 1] |= np.bitwise_or.reduceat(both & np.uint64(0xFFFFFFFF), first).astype(np.uint32)
-        return words.astype(">u4").tobytes()[: (total + 7) // 8], at[::stride].astype("<u8")
+            both = np.bitwise_or.reduceat(both, first)
+            word = word[first]
+            words[word] |= (both >> np.uint64(32)).astype(np.uint32)
+            words[word + 1] |= both.astype(np.uint32)
+        return words.astype(">u4").tobytes()[: (total + 7) // 8], offsets
 
     def table(self) -> tuple[np.ndarray, np.ndarray]:
         """For every window of `most` bits: the symbol it starts with, and that symbol's length."""
@@ -127,21 +133,17 @@ class Coder:
 
 
 def _tokenizer(path: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, start = WordTokenizer.load(path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, _SLICE):
-                some = batch.slice(at, _SLICE)
-                ids = [x + end for x in words.encode(some["text"].to_pylist())]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
+            for some in slices(batch, "text"):
+                raw, n = words.encode_documents(some["text"], end_id)
                 starts = start + np.cumsum(n) - n
-                start += int(n.sum())
                 yield pa.record_batch(
-                    [pa.array(np.full(len(n), part, np.int32)), some["doc_id"], pa.array(starts), pa.array(n), pa.array(ids, pa.binary())],
+                    [pa.array(np.full(len(n), part, np.int32)), some["doc_id"], pa.array(starts), pa.array(n), id_column(raw, n)],
                     ["part", "doc_id", "part_start", "n_tokens", "ids"],
-                )
+                )
+                start += int(n.sum())
 
     return encode
 
@@ -159,11 +161,9 @@ def tokenize(df: DataFrame, path: str, end_id: int) -> DataFrame:
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch["ids"]:
-            own = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            if len(own) > len(counts):
-                counts = np.pad(counts, (0, len(own) - len(counts)))
-            counts[: len(own)] += own
+        own = np.bincount(ids_in(batch["ids"]), minlength=len(counts))
+        own[: len(counts)] += counts
+        counts = own
     used = np.flatnonzero(counts)
     yield pa.record_batch([pa.array(used), pa.array(counts[used])], ["id", "n"])
 
@@ -174,16 +174,16 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     return counts.groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def _block(coder: Coder, rows: list[tuple], stride: int) -> bytes:
-    ids = np.frombuffer(b"".join(r[3] for r in rows), "<u4")
-    raw, offsets = coder.pack(ids, stride)
-    doc_ids = [r[0] for r in rows]
+def _block(coder: Coder, rows: pa.RecordBatch, stride: int) -> bytes:
+    raw, offsets = coder.pack(ids_in(rows["ids"]), stride)
+    doc_ids = rows["doc_id"]
+    lengths = rows["n_tokens"].to_numpy()
     return b"".join((
-        _HEAD.pack(MAGIC, len(rows), len(ids), stride, len(raw)),
-        np.array([d is None for d in doc_ids], np.uint8).tobytes(),
-        np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
-        np.array([r[2] for r in rows], "<u4").tobytes(),
-        np.array([r[1] for r in rows], "<i8").tobytes(),
+        _HEAD.pack(MAGIC, rows.num_rows, int(lengths.sum()), stride, len(raw)),
+        doc_ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
+        doc_ids.fill_null(0).to_numpy().astype("<i8").tobytes(),
+        lengths.astype("<u4").tobytes(),
+        rows["part_start"].to_numpy().astype("<i8").tobytes(),
         offsets.tobytes(),
         raw,
     ))
@@ -191,27 +191,18 @@ def _block(coder: Coder, rows: list[tuple], stride: int) -> bytes:
 
 def _encoder(bits: np.ndarray, block_ids: int, stride: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, rows, held = Coder(bits), None, [], 0
-
-        def block() -> pa.RecordBatch:
-            made = [[part], [rows[0][1]], [_block(coder, rows, stride)]]
-            return pa.record_batch(
-                [pa.array(x, t) for x, t in zip(made, (pa.int32(), pa.int64(), pa.binary()))],
-                ["part", "part_start", "payload"],
-            )
-
+        coder = Coder(bits)
         for batch in batches:
-            for at in range(0, batch.num_rows, _SLICE):
-                some = batch.slice(at, _SLICE)
-                for p, *row in zip(*(some[c].to_pylist() for c in ("part", "doc_id", "part_start", "n_tokens", "ids"))):
-                    if rows and (p != part or held + row[2] > block_ids):
-                        yield block()
-                        rows, held = [], 0
-                    part = p
-                    rows.append(row)
-                    held += row[2]
-        if rows:
-            yield block()
+            block = (np.cumsum(batch["n_tokens"].to_numpy()) - 1) // block_ids
+            new = (np.diff(block) != 0) | (np.diff(batch["part"].to_numpy()) != 0)
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:]):
+                if end > start:
+                    rows = batch.slice(start, end - start)
+                    yield pa.record_batch(
+                        [rows["part"].slice(0, 1), rows["part_start"].slice(0, 1), pa.array([_block(coder, rows, stride)], pa.binary())],
+                        ["part", "part_start", "payload"],
+                    )
 
     return encode
 
@@ -224,7 +215,7 @@ def write_ids(
 
     Null and empty texts are the end id alone; repeated rows are written each;
     null ids come last. An empty table gives a folder without blocks. A block has
-    whole documents: as many as fit `block_ids`, or one longer one. The code
+    whole documents, about `block_ids` ids of them or one longer one. The code
     comes from the counts of all ids, a table no longer than the vocabulary.
     """
     spark = df.sparkSession
@@ -267,10 +258,9 @@ def _decoder(bits: np.ndarray):
         for batch in batches:
             for part, payload in zip(batch["part"].to_pylist(), batch["payload"]):
                 doc_ids, starts, lengths, ids = read_block(payload.as_py(), coder)
-                raw, ends = ids.astype("<u4").tobytes(), np.cumsum(lengths)
-                each = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), lengths.tolist())]
+                raw = ids.astype("<u4").tobytes()
                 yield pa.record_batch(
-                    [pa.array(np.full(len(each), part, np.int32)), pa.array(doc_ids, pa.int64()), pa.array(starts), pa.array(lengths), pa.array(each, pa.binary())],
+                    [pa.array(np.full(len(starts), part, np.int32)), pa.array(doc_ids, pa.int64()), pa.array(starts), pa.array(lengths), id_column(raw, lengths)],
                     ["part", "doc_id", "part_start", "n_tokens", "ids"],
                 )
 
