@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,8 +42,11 @@ MARKS = frozenset(
     " cookie cookies consent gdpr notice notices alert disclaimer paywall subscribe subscription newsletter signup login"
     " nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toolbar topbar masthead header footer"
     " sidebar aside widget complementary contentinfo related recommended recommendations share sharing social follow"
-    " comment comments commentlist disqus respond reply replies discussion search skip".split()
+    " comment comments commentlist disqus respond responses reply replies discussion search skip privacy copyright".split()
 )
+#: With one of these in the same name, a mark tells of the layout ("no-sidebar") or of a part of the article ("entry-header").
+UNMARKS = frozenset("has with no without layout".split())
+ARTICLE_PARTS = frozenset("article entry post story content title".split())
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?", re.S)
 _ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -53,12 +57,13 @@ _SLICE = 64
 class Node:
     """An element: its children are nodes and texts in page order."""
 
-    __slots__ = ("name", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total", "best", "blocks")
 
     def __init__(self, name: str, dropped: bool):
         self.name, self.dropped, self.children = name, dropped, []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.best, self.blocks = self, False
 
 
 def _marked(name: str, attributes: str, inside_article: bool) -> bool:
@@ -71,15 +76,24 @@ def _marked(name: str, attributes: str, inside_article: bool) -> bool:
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
             return True
-        if key in ("class", "id", "role") and any(w.lower() in MARKS for w in _WORDS.findall(value)):
+        if key in ("class", "id", "role") and any(_names_a_mark(n, inside_article) for n in value.split()):
             return True
     return False
 
 
+def _names_a_mark(name: str, inside_article: bool) -> bool:
+    words = {w.lower() for w in _WORDS.findall(name)}
+    found = words & MARKS
+    if "header" in found and (inside_article or words & ARTICLE_PARTS):
+        found = found - {"header"}
+    return bool(found) and not words & UNMARKS
+
+
 def parse(page: str) -> Node:
     """The element tree of a page, whatever is missing or wrongly nested in it."""
     root = Node("#root", False)
     stack, articles, at, end = [root], 0, 0, len(page)
+    open_ = Counter()  # names on the stack, so that a search for one that isn't there ends at once
 
     def text(raw: str) -> None:
         if raw:
@@ -88,10 +102,11 @@ def parse(page: str) -> Node:
     def pop_to(depth: int) -> None:
         nonlocal articles
         articles -= sum(n.name in ("article", "main") for n in stack[depth:])
+        open_.subtract(n.name for n in stack[depth:])
         del stack[depth:]
 
     def close(names: set[str] | frozenset[str], barriers: set[str] | frozenset[str]) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
+        for depth in range(len(stack) - 1 if any(open_[n] for n in names) else 0, 0, -1):
             if stack[depth].name in names:
                 return pop_to(depth)
             if stack[depth].name in barriers:
@@ -112,7 +127,7 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if closing:
-            if name == "p" and not any(n.name == "p" for n in stack):
+            if name == "p" and not open_["p"]:
                 stack[-1].children.append(Node("p", False))
             elif name == "br":
                 stack[-1].children.append(Node("br", False))
@@ -123,7 +138,7 @@ def parse(page: str) -> Node:
             close({"p"}, {"td", "th", "table", "button"})
         if name in ENDS:
             close(*ENDS[name])
-        if name in ("html", "body") and any(n.name == name for n in stack):
+        if name in ("html", "body") and open_[name]:
             continue
         if name == "body":
             close({"head"}, frozenset())
@@ -138,6 +153,7 @@ def parse(page: str) -> Node:
             at = found.end() if found else end
             continue
         stack.append(node)
+        open_[name] += 1
         articles += name in ("article", "main")
     return root
 
@@ -168,49 +184,87 @@ def weigh(root: Node) -> list[Node]:
     body = next((n for n in order if n.name == "body"), root)
     ratio = body.link_chars / body.chars if body.chars else 0.0
     for node in order:
-        c, t, lc, lt = node.chars, max(1, node.tags), max(1, node.link_chars), max(1, node.link_tags)
-        if c:
-            base = math.log(c / max(1, c - node.link_chars) * node.link_chars + ratio * c + math.e)
-            node.density = c / t * math.log(max(1.0, c / lc * t / lt), base) if base > 1 else c / t
-    for node in order:
-        node.total = sum(c.density for c in _kept(node))
+        node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, ratio)
+    for node in reversed(order):
+        _add_up(node, ratio)
     return order
 
 
+def _add_up(node: Node, ratio: float) -> None:
+    """The sum of child densities of `node`, and the node with the greatest sum below it; children come first.
+
+    Children are blocks, and runs of text and inline elements between them. An inline element with blocks
+    in it stands for these; inline elements are no content of their own.
+    """
+    total, chars, tags = 0.0, 0, 0
+    for child in [*node.children, None]:
+        if isinstance(child, str):
+            chars += len("".join(child.split()))
+        elif child is None or not child.dropped and (child.name in BLOCK or child.blocks):
+            total += _density(chars, tags, 0, 0, ratio)
+            chars = tags = 0
+            if child is not None:
+                total += child.density if child.name in BLOCK else child.total
+                node.blocks = True
+        elif not child.dropped:
+            chars += child.chars - child.link_chars
+            tags += 1 + child.tags - child.link_tags - (child.name == "a")
+    inline = node.name not in BLOCK and node.name != "#root"
+    node.total = 0.0 if inline and not node.blocks else total
+    found = [c.best for c in _kept(node)]
+    node.best = max(found if inline and found else [node, *found], key=lambda n: n.total)
+
+
+def _density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: float) -> float:
+    """Characters per tag, less where links hold them; `ratio` is the share of characters in links on the page."""
+    if not chars:
+        return 0.0
+    tags = max(1, tags)
+    base = math.log(chars / max(1, chars - link_chars) * link_chars + ratio * chars + math.e)
+    plain = chars / max(1, link_chars) * tags / max(1, link_tags)
+    return chars / tags * (math.log(max(1.0, plain), base) if base > 1 else 1.0)
+
+
 def main_nodes(root: Node) -> list[Node]:
     """The content subtrees: the one with the greatest density sum, and others that reach the least density on its path to the body."""
     order = weigh(root)
     parents = {id(c): n for n in order for c in _kept(n)}
     body = next((n for n in order if n.name == "body"), root)
-    inside = _in_order(body)
-    articles = [n for n in inside if n.name in ("article", "main") and n.chars]
-    best = max(inside, key=lambda n: n.total)
-    threshold, node = best.density, best
+    threshold, node = body.best.density, body.best
     while node is not body:
         node = parents[id(node)]
         threshold = min(threshold, node.density)
     chosen, todo = [], [body]
     while todo:
         node = todo.pop()
-        if node.density >= threshold and node.chars:
-            top = max(_in_order(node), key=lambda n: n.total)
-            chosen.append(top if top.total else node)
-            if chosen[-1] is not node:
-                todo.extend(c for c in _kept(node) if c is not chosen[-1])
+        if node.chars and node.density >= threshold:
+            chosen.append(node.best if node.best.total else node)
         else:
             todo.extend(_kept(node))
-    if articles:  # an article is main text as a whole, and text beside it is not
-        outer = [a for a in articles if not _inside(a, parents, {id(x) for x in articles})]
-        held = [a for a in outer if any(c is a or _inside(c, parents, {id(a)}) or _inside(a, parents, {id(c)}) for c in chosen)]
-        return held or outer
-    return [c for c in chosen if not _inside(c, parents, {id(x) for x in chosen})]
-
-
-def _inside(node: Node, parents: dict[int, Node], ids: set[int]) -> bool:
-    while (node := parents.get(id(node))) is not None:
-        if id(node) in ids:
-            return True
-    return False
+    inside = _in_order(body)
+    articles = {id(n) for n in inside if n.name in ("article", "main") and n.chars}
+    if not articles:
+        return chosen
+    # an article is main text as a whole, and text beside it is not
+    above, below = _under(inside, parents, articles), {id(n) for n in chosen}
+    for node in reversed(inside):
+        if id(node) in below and node is not body:
+            below.add(id(parents[id(node)]))
+    outer = [n for n in inside if id(n) in articles and id(n) not in above]
+    picked = {id(n) for n in chosen}
+    under_picked = _under(inside, parents, picked) | picked
+    held = [n for n in outer if id(n) in below or id(n) in under_picked]
+    return held or outer
+
+
+def _under(order: list[Node], parents: dict[int, Node], ids: set[int]) -> set[int]:
+    """Nodes that stand below one of `ids`; `order` has parents first."""
+    found: set[int] = set()
+    for node in order:
+        above = parents.get(id(node))
+        if above is not None and (id(above) in ids or id(above) in found):
+            found.add(id(node))
+    return found
 
 
 def text_of(node: Node) -> str:

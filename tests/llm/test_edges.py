@@ -1,6 +1,5 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
 
-import json
 from collections import Counter
 
 import public_tokenizers
@@ -171,8 +170,38 @@ def test_pipeline_of_odd_documents(spark, docs, labels, tmp_path):
     assert 4 in ids(out)
 
 
-def test_html_cases():
-    page = json.loads((__file__ and '"<html><body><header>Top</header><nav>Menu</nav><div id=\\"main-content\\"><h2>T</h2><p>One <b>two<br>three</p>'
-                       '<p>four&nbsp;five &lt;six&gt;</p><ul><li>a<li>b</ul></div><div class=\\"comments\\"><p>First!</p></div>'
-                       '<form><p>Mail</p></form><aside>More</aside><script>var x=\'<p>\';</script><footer>End</footer></body></html>"'))
-    assert html.extract(page) == "T One two three four five <six> a b"
+BEFORE = """<html><head><title>t</title><style>p{}</style></head><body class="no-sidebar"><header><p>Top of all pages</p></header>
+<nav><ul><li><a href=/>Home</a><li><a href=/b>News and more</a></ul></nav><div class="cookie-notice"><p>We use cookies, agree</p></div>"""
+AFTER = """<div class="comments"><h3>Comments</h3><p>First comment of a reader, a long one that says much about it all</p></div>
+<form action=/s><p>Write to us</p><input name=q><button>Send</button></form><aside><p>Read more of this</p></aside>
+<div id="sidebar"><p>Most read today</p></div><script>var x='<p>no</p>';</script><footer><p>All rights</p></footer></body></html>"""
+WORDS = "One two, <b>three</b> &amp; four&nbsp;five <i>six</i>; "
+TEXT = "One two, three & four five six;"
+BODIES = {
+    "article": (f"<article><h1>T</h1><p>{WORDS}<p>{WORDS}</p></article>", f"T {TEXT} {TEXT}"),
+    "article with header and comments": (
+        f"<article><header class=entry-header><h1>T</h1></header><div><p>{WORDS}</div><div>{WORDS}</div><div class='ad'>Buy</div>"
+        f"<section id='reader-comments'><p>Me too</p></section></article>", f"T {TEXT} {TEXT}",
+    ),
+    "main": (f"<main class='with-sidebar'><h2>T</h2><ul><li>{WORDS}<li>b</ul><pre>c\n  d</pre></main>", f"T {TEXT} b c d"),
+    "divs": (
+        f"<div class=wrap><div class=content><h2>T</h2><p>{WORDS * 4}</p><p>{WORDS * 9}</p></div></div>",
+        f"T {' '.join([TEXT] * 13)}",
+    ),
+    "line breaks": (f"<div>{'<br>'.join([WORDS * 3] * 6)}</div>", " ".join([TEXT] * 18)),
+    "table": (
+        f"<table><tr><td><a href=1>One</a><br><a href=2>Two</a><td><p>{WORDS * 5}<p>{WORDS * 5}</table>",
+        " ".join([TEXT] * 10),
+    ),
+}
+
+
+@pytest.mark.parametrize("name", BODIES)
+def test_main_text(name):
+    body, text = BODIES[name]
+    assert html.extract(BEFORE + body + AFTER) == text
+
+
+@pytest.mark.parametrize("page", ["<", "<p", "<!--", "<a href='", "&#xfffffff;", "</p></p>", "<script>", "<b>" * 50_000 + "x", "<td>x<li>y", "\x00<p>\ud7ff"])
+def test_broken_pages(page):
+    assert isinstance(html.extract(page), str)
