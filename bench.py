@@ -154,9 +154,7 @@ def main() -> None:
     queries = {
         "clean_csv_to_parquet": lambda: clean_to(scratch_path(spark, "trips")),
         "demand_net": lambda: done(demand.hourly_demand(staged)),
-        "demand_net_joined": lambda: done(
-            demand.net_demand(demand.departures(staged), demand.arrivals(staged))
-        ),
+        "demand_net_one_pass": lambda: done(demand.hourly_demand_one_pass(staged)),
         "availability_hourly": lambda: done(
             hourly_availability_from(
                 staging.stage_snapshots(readings), staging.stage_stations(stations)

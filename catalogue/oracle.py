@@ -532,6 +532,8 @@ oracle("demand_departures", "SELECT * FROM departures", "departures")
 oracle("demand_arrivals", "SELECT * FROM arrivals", "arrivals")
 oracle("demand_net", "SELECT * FROM demand", "demand")
 oracle("demand_net_joined", "SELECT * FROM demand", "demand")
+oracle("demand_net_one_pass", "SELECT * FROM demand", "demand")
+oracle("demand_net_by_end_one_pass", "SELECT * FROM demand_by_end", "demand_by_end")
 oracle("demand_net_by_end", "SELECT * FROM demand_by_end", "demand_by_end")
 oracle(
     "demand_ranked",

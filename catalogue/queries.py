@@ -515,6 +515,16 @@ def demand_net_joined(spark, sf_dir):
     return demand.net_demand(demand.departures(staged), demand.arrivals(staged))
 
 
+@query
+def demand_net_one_pass(spark, sf_dir):
+    return demand.hourly_demand_one_pass(staged_trips(spark, sf_dir))
+
+
+@query
+def demand_net_by_end_one_pass(spark, sf_dir):
+    return demand.hourly_demand_one_pass(staged_trips(spark, sf_dir), bucket="end")
+
+
 @query
 def demand_net_by_end(spark, sf_dir):
     return demand.hourly_demand(staged_trips(spark, sf_dir), bucket="end")

@@ -1,5 +1,9 @@
 """Every registered query against its SQL, over whole tables."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from compare import connect, differences
 
@@ -7,6 +11,8 @@ import __spark_entry__ as entry_point
 from catalogue.oracle import ORACLE as SQL
 from catalogue.queries import QUERIES
 
+SMOKE = entry_point.SMOKE_DIR
+
 
 @pytest.fixture(scope="module")
 def con(sf):
@@ -26,8 +32,23 @@ def test_entry(spark):
     assert entry_point.entry(spark).count() == 10
 
 
+def test_entry_needs_no_working_folder(tmp_path):
+    """Readers run in Python workers; none finds the repository by itself here."""
+    code = f"""
+import sys; sys.path.insert(0, {str(entry_point.ROOT)!r})
+import __spark_entry__ as e
+from stationflow import build_session
+spark = build_session("far", "local[2]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
+names = [n for n in e.queries() if n in ("trips_archive_results", "op3_html")]
+print("rows", [e.queries()[n](spark, {SMOKE!r}).count() for n in names])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows [1" in out.stdout, out.stderr[-2000:]
+
+
 def test_entry_registers_the_catalogue():
-    assert QUERIES.items() <= entry_point.queries().items()
+    assert QUERIES.keys() <= entry_point.queries().keys()
     assert SQL.items() <= entry_point.oracle_sql().items()
 
 

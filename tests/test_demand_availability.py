@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
@@ -47,8 +49,8 @@ def test_net_demand_edges(some_trips):
 @pytest.mark.parametrize("bucket", ["start", "end"])
 def test_one_pass_equals_the_join(some_trips, bucket):
     joined = demand.net_demand(demand.departures(some_trips), demand.arrivals(some_trips, bucket))
-    one_pass = demand.hourly_demand(some_trips, bucket)
-    assert rows(joined) == rows(one_pass)
+    one_pass = demand.hourly_demand_one_pass(some_trips, bucket)
+    assert rows(joined) == rows(one_pass) == rows(demand.hourly_demand(some_trips, bucket))
     assert joined.schema.simpleString() == one_pass.schema.simpleString()
 
 
@@ -67,8 +69,15 @@ def test_departures_add_up(spark, sf):
 def test_trips_are_scanned_once(spark, tmp_path, some_trips):
     some_trips.write.parquet(str(tmp_path / "t"))
     stored = spark.read.parquet(str(tmp_path / "t"))
-    physical = plan_of(demand.hourly_demand(stored)).split("== Physical Plan ==")[1]
+    physical = plan_of(demand.hourly_demand_one_pass(stored)).split("== Physical Plan ==")[1]
     assert physical.count("FileScan parquet") == 1
+    assert demand.departure_cells(some_trips).count() == demand.departures(some_trips).count()
+
+
+def test_means_are_not_rounded_before(spark, some_trips):
+    third = some_trips.limit(1).withColumn("trip_duration_minutes", F.lit(1.004))
+    mean = demand.departures(third.unionByName(third)).first()["avg_trip_duration_minutes"]
+    assert mean == pytest.approx(1.004, abs=1e-9)
 
 
 SNAPSHOT = """station_id string, snapshot_at timestamp, snapshot_hour int, snapshot_date date,
@@ -142,6 +151,21 @@ def hourly(spark, *data):
     )
 
 
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_availability_has_one_plan(spark, readings, stations, limit):
+    """Tallies come before the join, whether Spark would broadcast the stations or not."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        made = availability.hourly_availability_from(readings, stations)
+        plain = availability.hourly_availability(availability.attach_capacity(readings, stations))
+        optimised = plan_of(made).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+        assert re.search(r"Aggregate.*Join.*Aggregate", optimised, re.S)
+        assert rows(made) == rows(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_station_availability(spark):
     df = hourly(spark, ("x1", "A", 8, 2.0, 0.2, 1), ("x2", "A", 9, 6.0, 0.6, 3), ("y", " a", 8, 1.0, 0.1, 2))
     plain = {r.station_name: r for r in availability.station_availability(df).collect()}
