@@ -434,6 +434,15 @@ oracle(
         FROM (SELECT {_SNAPSHOT_ROW} FROM snapshots WHERE event_type = 'click')""",
     "snapshots",
 )
+oracle(
+    "snapshots_flattened_new_field",
+    """SELECT station_id, num_bikes_available, num_bikes_available + 1 AS num_scooters, snapshot_at
+       FROM (SELECT * FROM snapshots WHERE event_type NOT IN ('error', 'purchase')
+             UNION ALL
+             SELECT * REPLACE ('other-' || split_part(station_id, '-', 2) AS station_id)
+             FROM snapshots WHERE event_type = 'click')""",
+    "snapshots",
+)
 _STAGED = """ts AS snapshot_at, CAST(hour(ts) AS INTEGER) AS snapshot_hour,
        CAST(ts AS DATE) AS snapshot_date, {station} AS station_id, num_bikes_available,
        num_ebikes_available, num_docks_available, num_bikes_disabled,

@@ -305,6 +305,22 @@ def snapshots_flattened(spark, sf_dir):
     return snap.flatten_snapshot(fx.snapshot_docs(spark, sf_dir), F.col("captured_at"))
 
 
+@query
+def snapshots_flattened_new_field(spark, sf_dir):
+    """Documents with a field that no schema here names, landed as JSON: the field survives."""
+    path = scratch_path(spark, "documents")
+    stations = F.transform(
+        "data.stations", lambda s: s.withField("num_scooters", s["num_bikes_available"] + 1)
+    )
+    docs = fx.snapshot_docs(spark, sf_dir)
+    docs = docs.withColumn("data", F.when(F.col("data").isNotNull(), F.struct(stations.alias("stations"))))
+    docs.write.option("timestampFormat", snap.ISO_TIME).json(path)
+    read = snap.read_snapshot_documents(spark, path, schema=None, one_per_file=False)
+    return snap.flatten_snapshot(read, F.col("captured_at")).select(
+        "station_id", "num_bikes_available", "num_scooters", "snapshot_at"
+    )
+
+
 @query
 def snapshots_ingest_batch(spark, sf_dir):
     """Documents flattened, landed by day, read back and staged."""

@@ -48,11 +48,18 @@ def read_snapshots(
 
 
 def read_snapshot_documents(
-    spark: SparkSession, path: str, schema: T.StructType | None = SNAPSHOT_DOC
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = SNAPSHOT_DOC,
+    one_per_file: bool = True,
 ) -> DataFrame:
-    """Nested snapshot documents, one per file."""
+    """Nested snapshot documents, one per file or one per line.
+
+    ``schema=None`` infers the fields, so that those a feed adds are kept; the
+    default keeps the fields it names.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    return reader.option("multiLine", one_per_file).option("recursiveFileLookup", True).json(path)
 
 
 def read_station_documents(
