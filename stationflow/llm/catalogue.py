@@ -64,7 +64,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier document has."""
-    return lines.line_report(_table(spark, sf_dir, "documents"))
+    return lines.line_report(_table(spark, sf_dir, "documents"), from_files=True)
 
 
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -80,12 +80,32 @@ _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 #: SQL for DuckDB, where it expresses the query.
 CORPUS_ORACLE: dict[str, str] = {
+    # all pairs by brute force, and all that they reach
+    "op4_vector_duplicates": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+              AND len([x FOR x IN embedding IF x <> 0]) > 0
+        ), l AS (
+            SELECT p.vec_id AS a, q.vec_id AS b
+            FROM v AS p JOIN v AS q ON p.vec_id <> q.vec_id AND len(p.e) = len(q.e)
+            WHERE list_cosine_similarity(p.e, q.e) >= 0.95
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION
+            SELECT r.a, l.b FROM reach AS r JOIN l ON r.b = l.a
+        )
+        SELECT r.a AS vec_id, (SELECT count(*) FROM l WHERE l.a = r.a) AS n_links, min(r.b) AS component_id,
+            r.a = min(r.b) AS kept
+        FROM reach AS r GROUP BY r.a
+    """,
     # whole vectors by brute force
     "op6_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+            SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
             FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
             FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id

@@ -65,10 +65,11 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 5) -> D
     words are left alone. Digests have 128 bits. Only repeated digests are looked up again, with each of them
     dealt to 32 tasks, so a line that stands in a third of all documents doesn't meet in one.
     """
-    kind = dict(docs.dtypes)["doc_id"]
+    kinds = dict(docs.dtypes)
     found = stored(
         docs.select("row_id", "doc_id", "text").mapInArrow(
-            _splitter(SEPARATORS[unit], min_words), f"row_id long, doc_id {kind}, start long, end long, digest binary"
+            _splitter(SEPARATORS[unit], min_words),
+            f"row_id {kinds['row_id']}, doc_id {kinds['doc_id']}, start long, end long, digest binary",
         ),
         "units",
     )
@@ -140,18 +141,21 @@ def without_repeats(docs: DataFrame, unit: str = "line", min_words: int = 5) ->
     )
 
 
-def remove_repeats(df: DataFrame, unit: str = "line", min_words: int = 5) -> DataFrame:
-    """The rows of `df` with `text` after removal of repeated units, and `n_chars`, if there, to match; other columns stay."""
-    done = without_repeats(numbered(df, "documents"), unit, min_words)
+def remove_repeats(df: DataFrame, unit: str = "line", min_words: int = 5, from_files: bool = False) -> DataFrame:
+    """The rows of `df` with `text` after removal of repeated units, and `n_chars`, if there, to match; other columns stay.
+
+    `from_files` as in `numbered`.
+    """
+    done = without_repeats(numbered(df, "documents", from_files), unit, min_words)
     new = {"text": F.col("clean")}
     if "n_chars" in df.columns:
         new["n_chars"] = F.length("clean").cast(df.schema["n_chars"].dataType)
     return done.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in df.columns])
 
 
-def line_report(df: DataFrame) -> DataFrame:
+def line_report(df: DataFrame, from_files: bool = False) -> DataFrame:
     """`doc_id`, the cleaned `text`, `n_removed` lines and their places `removed` ("start:end,...") per row of `df`."""
-    docs = numbered(df.select("doc_id", "text"), "documents")
+    docs = numbered(df.select("doc_id", "text"), "documents", from_files)
     place = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return without_repeats(docs).select(
         F.col("row.doc_id").alias("doc_id"), F.col("clean").alias("text"),

@@ -58,6 +58,7 @@ def _thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
     which the budget ends. Only that digit's documents are read for the next
     level, until a single one is left. No documents are sorted.
     """
+    docs = docs.select("source", "size", "h", "t")
     level = stored(
         budgets.select("source", F.col("budget").alias("left"), F.array().cast("array<int>").alias("edge"), (F.col("budget") > 0).alias("open")),
         "thresholds",
@@ -95,23 +96,21 @@ def _thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
     return level.select("source", "edge")
 
 
-def copies(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """`row_id`, `source_size`, `target` and `copies` for every row of `row_id`, `doc_id`, `text`, `source`.
+def _keyed(doc_id: str, source: str, text: str, row_id: str) -> list[Column]:
+    """Size and hashes of a document; the second hash tells rows apart that are equal in all three."""
+    return [
+        word_count(text).alias("size"),
+        F.xxhash64(doc_id, source, text).alias("h"),
+        F.xxhash64(row_id).alias("t"),
+    ]
 
-    A source takes each document as often as its target holds its size, and one
-    time more for those whose hash lies below the threshold for the rest. The
-    hash is over doc_id, source and text, so reruns agree; rows equal in all
-    three are interchangeable and may be taken in part. A null source is a source;
-    texts that are null or without words have size 0 and take nothing; an empty
-    table gives no rows. No document is taken more than `most` times.
+
+def plan_mix(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """Per source (`mixed_source`): `source_size`, `target`, and from what `copies` follows, `whole` and `edge`.
+
+    From `source`, `size`, `h`, `t` of every document. A source takes each document as often as its target holds its
+    size, and one time more for those whose hash lies below the threshold for the rest.
     """
-    sized = stored(
-        docs.select(
-            "row_id", "doc_id", "source", word_count().alias("size"),
-            F.xxhash64("doc_id", "source", "text").alias("h"), F.xxhash64("row_id").alias("t"),
-        ),
-        "sizes",
-    )
     sizes = stored(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
     targets = source_targets(sizes, weights, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -119,29 +118,43 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3)
         targets.withColumn("whole", whole.cast("int")).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")),
         "targets",
     )
-    edges = _thresholds(sized, plan).withColumnRenamed("source", "s")
-    per_source = stored(
-        plan.join(edges, plan["source"].eqNullSafe(edges["s"])).select(F.col("source").alias("s"), "source_size", "target", "whole", "edge"),
+    edges = _thresholds(sized, plan).withColumnRenamed("source", "mixed_source")
+    return stored(
+        plan.join(edges, plan["source"].eqNullSafe(edges["mixed_source"])).select("mixed_source", "source_size", "target", "whole", "edge"),
         "plan",
     )
+
+
+def _copies() -> Column:
     digits = F.array(*[_digit(i) for i in range(2 * _DIGITS)])
-    extra = (digits < F.col("edge")).cast("int")
-    return sized.join(per_source, sized["source"].eqNullSafe(per_source["s"])).select(
-        "row_id", "doc_id", "size", "source_size", "target", (F.col("whole") + extra).alias("copies")
-    )
+    return F.col("whole") + (digits < F.col("edge")).cast("int")
+
+
+def mix(df: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, from_files: bool = False) -> DataFrame:
+    """The rows of `df`, each as often as the mix takes it; all columns stay. `from_files` as in `numbered`.
 
+    The hash is over doc_id, source and text, so reruns agree; rows equal in all
+    three are interchangeable and may be taken in part. A null source is a source;
+    documents without words are taken as often as others of their source; an empty
+    table gives no rows. No document is taken more than `most` times. Texts are not shuffled while the sources'
+    plan is small enough to be broadcast by Spark's own rule.
+    """
+    docs = numbered(df, "documents", from_files)
+    keyed = docs.select("row", F.col("row.source").alias("source"), *_keyed("row.doc_id", "row.source", "row.text", "row_id"))
+    plan = plan_mix(stored(keyed.select("source", "size", "h", "t"), "sizes"), weights, most)
+    joined = keyed.join(plan, keyed["source"].eqNullSafe(plan["mixed_source"]))
+    often = joined.select("row", _copies().alias("copies")).where("copies > 0")
+    return often.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
-def mix(df: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """The rows of `df`, each as often as the mix takes it; all columns stay."""
-    docs = numbered(df, "documents")
-    taken = copies(docs.select("row_id", "row.doc_id", "row.text", "row.source"), weights, most)
-    often = taken.where("copies > 0").select("row_id", "copies")
-    return docs.join(often, "row_id").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
+def mix_report(df: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """`doc_id`, `size`, `source_size`, `target` and `taken` words per row of `df`, as `mix` takes them.
 
-def mix_report(df: DataFrame) -> DataFrame:
-    """`doc_id`, `size`, `source_size`, `target` and `taken` words per row of `df`; other columns are not read."""
-    docs = df.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text", "source")
-    return copies(docs).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    Texts that are null or without words have size 0 and take nothing; other columns are not read.
+    """
+    docs = df.select("doc_id", "source", "text", F.monotonically_increasing_id().alias("row_id"))
+    sized = stored(docs.select("doc_id", "source", *_keyed("doc_id", "source", "text", "row_id")), "sizes")
+    plan = plan_mix(sized, weights, most)
+    return sized.join(plan, sized["source"].eqNullSafe(plan["mixed_source"])).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken")
     )

@@ -39,9 +39,18 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, name: str) -> DataFrame:
-    """Columns `row` (the input row as a struct, whatever its column names) and `row_id`, unique per row."""
-    return stored(df.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("row_id")), name)
+def numbered(df: DataFrame, name: str, from_files: bool = False) -> DataFrame:
+    """Columns `row` (the input row as a struct, whatever its column names) and `row_id`, unique per row.
+
+    For `df` read straight from Parquet files (`from_files`), a row is known by its
+    place in them: a hash of the file's path and the row's number in it, the same in each read. Any other
+    table is written once with numbers.
+    """
+    row = F.struct("*").alias("row")
+    if from_files:
+        file, at = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
+        return df.select(row, F.struct(file.alias("file"), at.alias("at")).alias("row_id"))
+    return stored(df.select(row, F.monotonically_increasing_id().alias("row_id")), name)
 
 
 def clear(spark: SparkSession) -> bool:

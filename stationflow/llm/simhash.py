@@ -52,9 +52,9 @@ def _add_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """From `row_id`, `doc_id` and `text`: `row_id`, `doc_id` and the fingerprint `fp`, a signed long."""
-    kind = dict(docs.dtypes)["doc_id"]
+    kinds = dict(docs.dtypes)
     return docs.select("row_id", "doc_id", "text").mapInArrow(
-        _add_fingerprints, f"row_id long, doc_id {kind}, fp long"
+        _add_fingerprints, f"row_id {kinds['row_id']}, doc_id {kinds['doc_id']}, fp long"
     )
 
 
@@ -158,10 +158,10 @@ def _linker(radius: int):
 
 
 def links(prints: DataFrame, radius: int = 3, block: int = 4096) -> DataFrame:
-    """Edges `a`, `b` that join all distinct fingerprints `fp` whose distance is `radius` or less.
+    """Edges `a`, `b` that connect what is connected by distinct fingerprints `fp` at a distance of `radius` or less.
 
-    Not every such pair is a row: within a key, enough of the pairs are kept to
-    connect what they connect, so a group of any size gives a row per probe. A
+    Not every such pair is a row: within a key, a spanning forest stands for
+    them, so a group of any size gives a row per probe. A
     key with more than `block` fingerprints is split into blocks; each block is
     compared with all rows of its key in a task of its own.
     """
@@ -215,9 +215,12 @@ def simhash_components(df: DataFrame) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(df: DataFrame) -> DataFrame:
-    """Of each component, the row with the least `doc_id` (nulls last), and of equal ones the first; all columns stay."""
-    docs = numbered(df, "documents")
+def one_of_each(df: DataFrame, from_files: bool = False) -> DataFrame:
+    """Of each component, the row with the least `doc_id` (nulls last), and of equal ones the first; all columns stay.
+
+    `from_files` as in `numbered`.
+    """
+    docs = numbered(df, "documents", from_files)
     seen = near_duplicates(docs.select("row_id", F.col("row.doc_id"), F.col("row.text")))
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id")
     first = seen.groupBy("component").agg(F.min(rank).alias("first")).select(F.col("first.row_id").alias("row_id"))
