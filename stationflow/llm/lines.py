@@ -6,12 +6,14 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm.scratch import numbered, stored
+from stationflow.llm.workers import tidy
 
 #: What stands between two units. A paragraph ends at a line without words.
 SEPARATORS = {"line": r"\n", "paragraph": r"\n[ \t\r\x0b\x0c]*\n\s*"}
@@ -34,31 +36,31 @@ def normalised(unit: str) -> bytes:
 
 
 def _splitter(separator: str, min_words: int):
+    @tidy
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _SLICE):
                 some = batch.slice(at, _SLICE)
-                rows, starts, ends, digests = [], [], [], []
-                picked = []
+                picked, starts, digests = [], [], []
                 for i, text in enumerate(some["text"].to_pylist()):
-                    for start, end, unit in units(text or "", separator):
+                    for start, _, unit in units(text or "", separator):
                         norm = normalised(unit)
                         if norm.count(b" ") + bool(norm) >= min_words:
                             picked.append(i)
                             starts.append(start)
-                            ends.append(end)
                             digests.append(hashlib.blake2b(norm, digest_size=16).digest())
                 rows = pa.array(picked, pa.int32())
+                halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 yield pa.record_batch(
-                    [some["row_id"].take(rows), some["doc_id"].take(rows), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(digests, pa.binary())],
-                    ["row_id", "doc_id", "start", "end", "digest"],
+                    [some["row_id"].take(rows), some["doc_id"].take(rows), pa.array(starts, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
+                    ["row_id", "doc_id", "start", "digest", "digest2"],
                 )
 
     return split
 
 
 def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 5) -> DataFrame:
-    """`row_id`, `start`, `end`, `kept_doc_id`, `kept_start` of each unit that an earlier one equals.
+    """`row_id`, `start`, `kept_doc_id`, `kept_start` of each unit that an earlier one equals.
 
     From `row_id`, `doc_id`, `text`. The earliest is the one with the least
     `doc_id` (nulls last), then of the least row, then the first in its text. Units of fewer than `min_words`
@@ -69,30 +71,30 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 5) -> D
     found = stored(
         docs.select("row_id", "doc_id", "text").mapInArrow(
             _splitter(SEPARATORS[unit], min_words),
-            f"row_id {kinds['row_id']}, doc_id {kinds['doc_id']}, start long, end long, digest binary",
+            f"row_id {kinds['row_id']}, doc_id {kinds['doc_id']}, start long, digest long, digest2 long",
         ),
         "units",
     )
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", "start")
     repeated = (
-        found.groupBy("digest").agg(F.min(rank).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "kept")
+        found.groupBy("digest", "digest2").agg(F.min(rank).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
     dealt = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     salted = found.withColumn("salt", F.pmod(F.xxhash64("row_id", "start"), F.lit(_SALTS)).cast("int"))
     later = (F.col("row_id") != F.col("kept.row_id")) | (F.col("start") != F.col("kept.start"))
     return (
-        salted.join(dealt, ["digest", "salt"])
+        salted.join(dealt, ["digest", "digest2", "salt"])
         .where(later)
-        .select("row_id", "start", "end", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"))
+        .select("row_id", "start", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"))
     )
 
 
-def cut(text: str, starts: set[int], separator: str) -> tuple[str, list[int], list[int]]:
-    """`text` without the units that begin at `starts`, and where the others begin and end.
+def cut(text: str, starts: set[int], separator: str) -> tuple[str, list[int], list[int], list[int]]:
+    """`text` without the units that begin at `starts`, where the others begin and end, and where those end.
 
     A unit that stays takes the separator before it along, unless it comes first.
     """
-    out, kept_starts, kept_ends, last = [], [], [], 0
+    out, kept_starts, kept_ends, gone_ends, last = [], [], [], [], 0
     for start, end, unit in units(text, separator):
         if start not in starts:
             if kept_starts:
@@ -100,15 +102,17 @@ def cut(text: str, starts: set[int], separator: str) -> tuple[str, list[int], li
             out.append(unit)
             kept_starts.append(start)
             kept_ends.append(end)
+        else:
+            gone_ends.append(end)
         last = end
-    return "".join(out), kept_starts, kept_ends
+    return "".join(out), kept_starts, kept_ends, gone_ends
 
 
 def _cutter(separator: str):
-    @F.pandas_udf("text string, starts array<bigint>, ends array<bigint>")
+    @F.pandas_udf("text string, starts array<bigint>, ends array<bigint>, gone_ends array<bigint>")
     def run(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
-        made = [(None, None, None) if s is None else cut(t, set(s), separator) for t, s in zip(texts, starts)]
-        return pd.DataFrame(made, columns=["text", "starts", "ends"])
+        made = [(None, None, None, None) if s is None else cut(t, set(s), separator) for t, s in zip(texts, starts)]
+        return pd.DataFrame(made, columns=["text", "starts", "ends", "gone_ends"])
 
     return run
 
@@ -123,21 +127,22 @@ def without_repeats(docs: DataFrame, unit: str = "line", min_words: int = 5) ->
     """
     flat = docs.select("row_id", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
     spans = repeated_units(flat, unit, min_words).groupBy("row_id").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed")
+        F.sort_array(F.collect_list("start")).alias("gone")
     )
     joined = docs.join(stored(spans, "removed-units"), "row_id", "left")
-    text, gone = F.col("row.text"), F.col("removed")
+    text, gone = F.col("row.text"), F.col("gone")
     done = joined.withColumn(
-        "done", _cutter(SEPARATORS[unit])(F.when(gone.isNotNull(), text), F.transform(gone, lambda s: s["start"]))
+        "done", _cutter(SEPARATORS[unit])(F.when(gone.isNotNull(), text), gone)
     )
     span = "array<struct<start:bigint,end:bigint>>"
     whole = F.when(text.isNull(), F.array().cast(span)).otherwise(
         F.array(F.struct(F.lit(0).cast("long").alias("start"), F.length(text).cast("long").alias("end")))
     )
-    kept = F.zip_with("done.starts", "done.ends", lambda s, e: F.struct(s.alias("start"), e.alias("end")))
+    spans_of = lambda s, e: F.zip_with(s, e, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+    kept, removed = spans_of("done.starts", "done.ends"), spans_of("gone", "done.gone_ends")
     return done.select(
         "row_id", "row", F.coalesce("done.text", text).alias("clean"),
-        F.coalesce(kept, whole).alias("kept"), F.coalesce(gone, F.array().cast(span)).alias("removed"),
+        F.coalesce(kept, whole).alias("kept"), F.coalesce(removed, F.array().cast(span)).alias("removed"),
     )
 
 

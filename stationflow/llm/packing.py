@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm.scratch import stored
 from stationflow.llm.tokens import WordTokenizer, slices
+from stationflow.llm.workers import tidy
 
 _PIECE = "level int, part long, seq long, closed boolean, at long, doc_id long, start long, length long, doc_tokens long, ids binary"
 _NAMES = [f.split()[0] for f in _PIECE.split(", ")]
@@ -107,6 +108,7 @@ def _packer(path: str, end_id: int, capacity: int, windows: int):
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.record_batch([pa.array(x, f.type) for x, f in zip(zip(*rows), _FIELDS)], schema=_FIELDS)
 
+    @tidy
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokenizer.load(path)
         packer = Packer(0, TaskContext.get().partitionId(), capacity, windows)
@@ -143,7 +145,7 @@ def _merger(level: int, capacity: int, windows: int, last: bool):
 
 
 def pack(
-    df: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096, windows: int = 64, fan: int = 64
+    df: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096, windows: int = 64, fan: int = 16
 ) -> DataFrame:
     """One row per piece: `sequence_id`, `at` (its offset there), `doc_id`, `start`, `length`, `doc_tokens`, `ids`.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm.components import connected
 from stationflow.llm.scratch import numbered, stored
+from stationflow.llm.workers import tidy
 
 BITS = 64
 SEGMENTS = 2
@@ -42,6 +43,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(set_bits.view("<u8")[0])
 
 
+@tidy
 def _add_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, _SLICE):
@@ -127,6 +129,7 @@ class _Group:
 def _linker(radius: int):
     """Links within each key of sorted batches; holds the indexed fingerprints of one key and block at a time."""
 
+    @tidy
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, None
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm.scratch import new_path, stored
 from stationflow.llm.tokens import WordTokenizer, id_column, ids_in, slices
+from stationflow.llm.workers import tidy
 
 MAGIC = b"HUF1"
 _HEAD = struct.Struct("<4s4I")
@@ -133,6 +134,7 @@ class Coder:
 
 
 def _tokenizer(path: str, end_id: int):
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, start = WordTokenizer.load(path), TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -190,6 +192,7 @@ def _block(coder: Coder, rows: pa.RecordBatch, stride: int) -> bytes:
 
 
 def _encoder(bits: np.ndarray, block_ids: int, stride: int):
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(bits)
         for batch in batches:
@@ -253,6 +256,7 @@ def read_block(payload: bytes, coder: Coder) -> tuple[list[int | None], np.ndarr
 
 
 def _decoder(bits: np.ndarray):
+    @tidy
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(bits)
         for batch in batches:

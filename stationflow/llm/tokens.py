@@ -22,7 +22,7 @@ _WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\r\x0
 #: What such a text may not hold: other characters, separators that only some call white space, special tokens.
 _OTHER = r"[^\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ÿ]|<\|"
 _ASKED = 100
-_SLICE_BYTES = 8 << 20
+_SLICE_BYTES = 4 << 20
 
 _loaded: dict[tuple[str, int], "WordTokenizer"] = {}
 
@@ -62,7 +62,7 @@ class WordTokenizer:
     many in a call. All other texts and files go to the library whole.
     """
 
-    def __init__(self, path: str, cached: int = 600_000):
+    def __init__(self, path: str, cached: int = 400_000):
         self.library = Tokenizer.from_file(path)
         self.cached = cached
         #: Ids of words, and of runs between white space: their texts, and where their ids lie in `flat`.
@@ -85,7 +85,7 @@ class WordTokenizer:
         return ends
 
     @classmethod
-    def load(cls, path: str, cached: int = 600_000) -> WordTokenizer:
+    def load(cls, path: str, cached: int = 400_000) -> WordTokenizer:
         """One tokenizer per Python worker, kept from task to task."""
         key = (path, cached)
         if key not in _loaded:

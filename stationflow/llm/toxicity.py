@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 _WORD = re.compile(r"\w+")
 _SLICE = 256
 _BITS = 20
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 100_000
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -123,6 +123,7 @@ class Model:
             for texts in batches:
                 parts = [self.scores(texts.iloc[at : at + _SLICE].tolist(), cache) for at in range(0, len(texts), _SLICE)]
                 yield pd.Series(np.concatenate([np.empty(0), *parts]))
+            pa.default_memory_pool().release_unused()
 
         return run(text)
 
