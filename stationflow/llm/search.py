@@ -110,7 +110,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def top_k(df: DataFrame, every: int = 50, k: int = 5, query_block: int = 4096, row_block: int = 65536) -> DataFrame:
+def top_k(df: DataFrame, every: int = 50, k: int = 5, query_block: int = 2048, row_block: int = 8192) -> DataFrame:
     """The `k` highest scores of each row of `df` whose `vec_id` is divisible by `every`, against all other rows.
 
     Gives `query_id`, `rank`, `vec_id`, `score`; ties go to the smaller `vec_id` (nulls last), then to the earlier row. A vector's
