@@ -115,7 +115,7 @@ class WordTokenizer:
         known = self.words
         split = [_WORD.findall(run) for run in runs]
         found = self._ask(list({w: None for words in split for w in words if w not in known}))
-        ids = [b"".join([known.get(w) or found[w] for w in words]) for words in split]
+        ids = [b"".join([known[w] if w in known else found[w] for w in words]) for words in split]
         if len(known) < self.cached // 2:  # once full, what was met first, so mostly what is frequent, stays
             known.update(found)
         return ids

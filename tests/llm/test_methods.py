@@ -88,7 +88,7 @@ def test_slices_keep_every_row():
     texts = ["x" * 3_000_000, None, "y", "z" * 9_000_000, "", "w" * 2_000_000]
     batch = pa.record_batch([pa.array(texts), pa.array(range(6))], ["text", "n"])
     parts = list(slices(batch, "text"))
-    assert [i for p in parts for i in p["n"].to_pylist()] == list(range(6)) and len(parts) == 2
+    assert [i for p in parts for i in p["n"].to_pylist()] == list(range(6)) and 1 < len(parts) < 6
 
 
 @settings(max_examples=100, deadline=None)
