@@ -129,7 +129,8 @@ def without_repeats(docs: DataFrame, unit: str = "line", min_words: int = 5) ->
     spans = repeated_units(flat, unit, min_words).groupBy("row_id").agg(
         F.sort_array(F.collect_list("start")).alias("gone")
     )
-    joined = docs.join(stored(spans, "removed-units"), "row_id", "left")
+    # The units grow with the documents: the same plan at every size, not a broadcast while they are few.
+    joined = docs.join(stored(spans, "removed-units").hint("merge"), "row_id", "left")
     text, gone = F.col("row.text"), F.col("gone")
     done = joined.withColumn(
         "done", _cutter(SEPARATORS[unit])(F.when(gone.isNotNull(), text), gone)
