@@ -21,20 +21,27 @@ _SEED = 42
 _SLICE = 256
 
 
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """64-bit hashes of the word shingles of a text, in order; see `fingerprint` for what words are."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.empty(0, "<u8")
+    if len(words) < shingle:
+        grams = [b" ".join(words)]
+    else:
+        grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
+    return np.fromiter((xxhash.xxh64_intdigest(g, _SEED) for g in grams), "<u8")
+
+
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """64-bit SimHash over word shingles; 0 for a text without words.
 
     Words are what lies between ASCII white space, with A-Z in lower case. A text
     of fewer words than a shingle counts as one shingle.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
         return 0
-    if len(words) < shingle:
-        grams = [b" ".join(words)]
-    else:
-        grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    hashes = np.fromiter((xxhash.xxh64_intdigest(g, _SEED) for g in grams), "<u8")
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)

@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from stationflow.llm import catalogue, components, lines, mixing, packing, search, simhash, token_files, vectors
+from stationflow.llm import catalogue, components, lines, mixing, packing, search, shingles, simhash, token_files, vectors
 from stationflow.llm.tokens import WordTokenizer, slices
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -189,6 +189,41 @@ def test_simhash(spark):
     assert out == {d["doc_id"]: (f"{int(p):016x}", docs[r]["doc_id"]) for d, p, r in zip(docs, prints, least)}
 
 
+def edited(words, every, rng):
+    return [f"new{rng.randrange(10**6)}" if i % every == every - 1 else w for i, w in enumerate(words)]
+
+
+def five_word_sets(texts):
+    sets = []
+    for t in texts:
+        words = (t or "").lower().split()
+        sets.append({" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    return sets
+
+
+@pytest.mark.parametrize("block", [1 << 22, 3000])
+def test_five_word_near_duplicates(spark, tmp_path, monkeypatch, block):
+    """Against all pairs: edits far apart leave a similarity about 0.8, where fingerprints differ in many bits."""
+    rng = random.Random(11)
+    texts = [None, "", "one two", "ONE  two", "three four five"]
+    for every in (30, 45, 50, 60, 90) * 8:
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(100, 400))]
+        texts += [" ".join(base), " ".join(edited(base, every, rng)), " ".join(edited(base, every, rng))]
+    crowd = [f"c{i}" for i in range(120)]
+    texts += [" ".join(edited(crowd, rng.randint(40, 80), rng)) for _ in range(60)]
+    sets = five_word_sets(texts)
+    pairs = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a == b or a and b and len(a & b) / len(a | b) >= 0.8]
+    expected = set(roots(len(texts), pairs))
+    prints = [simhash.fingerprint(t) for t in texts]
+    assert any((prints[i] ^ prints[j]).bit_count() > 3 for i, j in pairs)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(shingles.similar_links, "__defaults__", (block,))
+    assert {r["doc_id"] for r in shingles.one_of_each(docs).collect()} == expected
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    stage = dict(corpus_pipeline.STAGES)["simhash_dedup"](spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
+    assert {r["doc_id"] for r in stage.collect()} == expected
+
+
 @pytest.mark.parametrize("block", [4096, 7])
 def test_links_in_crowds(spark, block):
     """Many prints around few centres, so that keys are crowded, with and without blocks."""
