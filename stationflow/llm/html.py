@@ -234,13 +234,18 @@ def main_nodes(root: Node) -> list[Node]:
     while node is not body:
         node = parents[id(node)]
         threshold = min(threshold, node.density)
-    chosen, todo = [], [body]
+    chosen: dict[int, Node] = {}
+    todo = [body]
     while todo:
         node = todo.pop()
-        if node.chars and node.density >= threshold:
-            chosen.append(node.best if node.best.total else node)
-        else:
+        if id(node) in chosen or not node.chars or node.density < threshold:
+            continue
+        best = node.best if node.best.total else node
+        chosen[id(best)] = best
+        if best is not node:
             todo.extend(_kept(node))
+    below = _under(order, parents, set(chosen))
+    chosen = [n for i, n in chosen.items() if i not in below]
     inside = _in_order(body)
     articles = {id(n) for n in inside if n.name in ("article", "main") and n.chars}
     if not articles:

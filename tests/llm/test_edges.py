@@ -202,6 +202,17 @@ def test_main_text(name):
     assert html.extract(BEFORE + body + AFTER) == text
 
 
+PARAGRAPHS = "".join(f"<p>{WORDS * 6}</p>" for _ in range(6))
+LINKS = "".join(f"<li><a href=/{i}>Other page {i}</a></li>" for i in range(30))
+
+
+def test_two_containers():
+    """Both of two containers of paragraphs, though one has the greater sum; not the links between them."""
+    first, second = PARAGRAPHS.replace("One", "First"), PARAGRAPHS + PARAGRAPHS
+    found = html.extract(f"<html><body><div>{first}</div><ul>{LINKS}</ul><div>{second}</div></body></html>")
+    assert found == " ".join([TEXT.replace("One", "First")] * 36 + [TEXT] * 72)
+
+
 @pytest.mark.parametrize("page", ["<", "<p", "<!--", "<a href='", "&#xfffffff;", "</p></p>", "<script>", "<b>" * 50_000 + "x", "<td>x<li>y", "\x00<p>\ud7ff"])
 def test_broken_pages(page):
     assert isinstance(html.extract(page), str)
