@@ -70,7 +70,7 @@ def _marked(name: str, attributes: str, inside_article: bool) -> bool:
     """Whether an element and all below it stand around the main text."""
     if name in DROPPED or name == "header" and not inside_article:
         return True
-    if name in ("html", "body", "article", "main") or not attributes:
+    if name in ("html", "body") or not attributes:
         return False
     for key, value in _ATTR.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
@@ -194,7 +194,7 @@ def _add_up(node: Node, ratio: float) -> None:
     """The sum of child densities of `node`, and the node with the greatest sum below it; children come first.
 
     Children are blocks, and runs of text and inline elements between them. An inline element with blocks
-    in it stands for these; inline elements are no content of their own.
+    in it stands for these; inline elements are no content of their own. Of equal sums, an article or main comes first.
     """
     total, chars, tags = 0.0, 0, 0
     for child in [*node.children, None]:
@@ -212,7 +212,7 @@ def _add_up(node: Node, ratio: float) -> None:
     inline = node.name not in BLOCK and node.name != "#root"
     node.total = 0.0 if inline and not node.blocks else total
     found = [c.best for c in _kept(node)]
-    node.best = max(found if inline and found else [node, *found], key=lambda n: n.total)
+    node.best = max(found if inline and found else [node, *found], key=lambda n: (n.total, n.name in ("article", "main")))
 
 
 def _density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: float) -> float:
@@ -226,7 +226,13 @@ def _density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: floa
 
 
 def main_nodes(root: Node) -> list[Node]:
-    """The content subtrees: the one with the greatest density sum, and others that reach the least density on its path to the body."""
+    """The content subtrees: the one with the greatest density sum, and others that reach the least density on its path to the body.
+
+    Of each node that reaches it, the subtree with the greatest density sum is taken, and then those of its children, as far as
+    they do not stand in a chosen subtree. Nodes below the threshold are left, with all in them. A tie-break: where what is
+    chosen holds half the characters outside links of the closest article or main around it, or more, that element is
+    taken whole, so that its headings and short blocks stay. An article that nothing chosen stands in is not taken for being one.
+    """
     order = weigh(root)
     parents = {id(c): n for n in order for c in _kept(n)}
     body = next((n for n in order if n.name == "body"), root)
@@ -235,6 +241,7 @@ def main_nodes(root: Node) -> list[Node]:
         node = parents[id(node)]
         threshold = min(threshold, node.density)
     chosen: dict[int, Node] = {}
+    around: dict[int, tuple[Node, list[Node]]] = {}
     todo = [body]
     while todo:
         node = todo.pop()
@@ -245,21 +252,17 @@ def main_nodes(root: Node) -> list[Node]:
         if best is not node:
             todo.extend(_kept(node))
     below = _under(order, parents, set(chosen))
-    chosen = [n for i, n in chosen.items() if i not in below]
-    inside = _in_order(body)
-    articles = {id(n) for n in inside if n.name in ("article", "main") and n.chars}
-    if not articles:
-        return chosen
-    # an article is main text as a whole, and text beside it is not
-    above, below = _under(inside, parents, articles), {id(n) for n in chosen}
-    for node in reversed(inside):
-        if id(node) in below and node is not body:
-            below.add(id(parents[id(node)]))
-    outer = [n for n in inside if id(n) in articles and id(n) not in above]
-    picked = {id(n) for n in chosen}
-    under_picked = _under(inside, parents, picked) | picked
-    held = [n for n in outer if id(n) in below or id(n) in under_picked]
-    return held or outer
+    for node in [n for i, n in chosen.items() if i not in below]:
+        held = node
+        while node is not body and node.name not in ("article", "main"):
+            node = parents[id(node)]
+        if node.name in ("article", "main"):
+            around.setdefault(id(node), (node, []))[1].append(held)
+    for node, inner in around.values():
+        if 2 * sum(n.chars - n.link_chars for n in inner) >= node.chars - node.link_chars:
+            chosen[id(node)] = node
+    below = _under(order, parents, set(chosen))
+    return [n for i, n in chosen.items() if i not in below]
 
 
 def _under(order: list[Node], parents: dict[int, Node], ids: set[int]) -> set[int]:

@@ -206,6 +206,26 @@ PARAGRAPHS = "".join(f"<p>{WORDS * 6}</p>" for _ in range(6))
 LINKS = "".join(f"<li><a href=/{i}>Other page {i}</a></li>" for i in range(30))
 
 
+@pytest.mark.parametrize(
+    "beside",
+    [
+        "<div class=x><article><a href=/1>A teaser</a></article><article><a href=/2>Another teaser</a></article></div>",
+        "<article class=comment><p>Me too, and more than that</p></article>",
+        "<article hidden><p>Not shown to anybody at all</p></article>",
+    ],
+)
+def test_density_decides_beside_articles(beside):
+    """Main text in a div stays, and teasers or comments in articles do not take its place."""
+    found = html.extract(f"<html><body><div class=text>{PARAGRAPHS}</div>{beside}</body></html>")
+    assert found == " ".join([TEXT] * 36)
+
+
+def test_density_decides_in_main():
+    """A main that is mostly something else is not taken whole."""
+    found = html.extract(f"<html><body><main><div>{PARAGRAPHS}</div><div><span>{'<i>a</i>bcdefgh ' * 300}</span></div></main></body></html>")
+    assert TEXT in found and "bcdefgh" not in found
+
+
 def test_two_containers():
     """Both of two containers of paragraphs, though one has the greater sum; not the links between them."""
     first, second = PARAGRAPHS.replace("One", "First"), PARAGRAPHS + PARAGRAPHS
