@@ -47,23 +47,24 @@ def rule_of(rules: dict[str, str], host: str = "host", path: str = "path") -> Co
 
 
 def url_tokens(host: str = "host", path: str = "path", url: str = "url") -> Column:
-    """Distinct tokens of a url: top-level domain, domain, other host labels, two path segments, query keys.
+    """Distinct tokens of a url: scheme, top-level domain, domain, other host labels, every path segment, query keys.
 
-    A number in the path counts by its first digit. The tokens imply each other as little as can be, as
-    every token that goes with another doubles the combinations.
+    A segment goes with its place and its whole text, ending included; a number at its start counts by its first digit.
+    Of the host, each label is a token of its own: suffixes of it would imply each other, and every token that
+    goes with another doubles the combinations.
     """
     labels = F.split(F.col(host), r"\.")
-    first = F.get(F.split(F.col(path), "/"), F.lit(1))
-    second = F.regexp_replace(F.get(F.split(F.col(path), "/"), F.lit(2)), r"^([0-9])[0-9]*.*", r"$1#")
+    segments = F.filter(F.split(F.col(path), "/"), lambda s: s != "")
+    shape = lambda s: F.regexp_replace(s, r"^([0-9])[0-9]*", r"$1#")
+    places = F.transform(segments, lambda s, i: F.concat(F.lit("path"), (i + 1).cast("string"), F.lit("="), shape(s)))
     names = F.array(
+        F.concat(F.lit("scheme="), F.translate(F.substring_index(F.col(url), "://", 1), UPPER, LOWER)),
         F.concat(F.lit("tld="), F.element_at(labels, -1)),
         F.when(F.size(labels) > 1, F.concat(F.lit("domain="), F.element_at(labels, -2))),
-        F.when(first != "", F.concat(F.lit("path1="), first)),
-        F.when(second != "", F.concat(F.lit("path2="), second)),
     )
     others = F.transform(F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(0))), lambda x: F.concat(F.lit("host="), x))
     keys = F.transform(F.regexp_extract_all(F.col(url), F.lit(r"[?&]([^=&#]+)="), F.lit(1)), lambda k: F.concat(F.lit("key="), k))
-    return F.sort_array(F.array_distinct(F.array_compact(F.concat(names, others, keys))))
+    return F.sort_array(F.array_distinct(F.array_compact(F.concat(names, others, places, keys))))
 
 
 def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, min_rows: int = 5) -> DataFrame:
@@ -74,15 +75,23 @@ def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, m
     tokens have its label. Their number is bounded by the support, not by the data.
     """
     items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
-    support = min(1.0, max(min_support, min_rows / max(1, labelled.count())))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
-    verdict = F.element_at("consequent", 1)
+    n = max(1, labelled.count())
+    support = min(1.0, max(min_support, min_rows / n))
+    frequent = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items).freqItemsets
+    is_label = lambda t: t.startswith(_LABEL)
+    # only rules that lead to a verdict: a combination with a label next to the same without
+    sets = stored(
+        frequent.select(
+            F.sort_array(F.filter("items", lambda t: ~is_label(t))).alias("tokens"),
+            F.get(F.filter("items", is_label), F.lit(0)).substr(len(_LABEL) + 1, 1000).alias("label"), "freq",
+        ).where(F.size("tokens") > 0),
+        "token-sets",
+    )
+    alone = sets.where("label is null").select("tokens", F.col("freq").alias("of"))
     return (
-        model.associationRules.where(verdict.startswith(_LABEL) & ~F.exists("antecedent", lambda t: t.startswith(_LABEL)))
-        .select(
-            F.sort_array("antecedent").alias("tokens"), F.substring(verdict, len(_LABEL) + 1, 1000).alias("label"),
-            "confidence", "support",
-        )
+        sets.where("label is not null").join(alone, "tokens")
+        .select("tokens", "label", (F.col("freq") / F.col("of")).alias("confidence"), (F.col("freq") / F.lit(n)).alias("support"))
+        .where(F.col("confidence") >= min_confidence)
     )
 
 
@@ -107,7 +116,7 @@ def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge_urls(
-    df: DataFrame, rules: dict[str, str] | None = None, min_support: float = 0.01, min_confidence: float = 0.8
+    df: DataFrame, rules: dict[str, str] | None = None, min_support: float = 0.005, min_confidence: float = 0.8
 ) -> DataFrame:
     """`page_id`, `host`, `path`, `rule` and `verdict` per row of `df` (`page_id`, `url`); other columns are not read.
 

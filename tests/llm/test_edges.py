@@ -1,9 +1,11 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
 
+import inspect
 from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stationflow.llm import html, lines, mixing, packing, search, simhash, token_files, toxicity, urls, vectors
@@ -236,3 +238,21 @@ def test_two_containers():
 @pytest.mark.parametrize("page", ["<", "<p", "<!--", "<a href='", "&#xfffffff;", "</p></p>", "<script>", "<b>" * 50_000 + "x", "<td>x<li>y", "\x00<p>\ud7ff"])
 def test_broken_pages(page):
     assert isinstance(html.extract(page), str)
+
+
+def test_url_segments_and_support(spark):
+    """Urls told apart by a third segment, by what follows a number, or by the scheme; and a rule of 0.9% of the labels."""
+    made = [(f"http://a.org/x/y/{'good' if i % 2 else 'bad'}", "good/" if i % 2 else "bad/") for i in range(400)]
+    made += [(f"http://a.org/n/{i + 100}.{'html' if i % 2 else 'exe'}", "html/" if i % 2 else "exe/") for i in range(400)]
+    made += [("https://b.net/s", "https/") if i % 2 else ("ftp://b.net/s", "ftp/") for i in range(182)]
+    made += [("http://c.com/rare", "rare/")] * 9
+    labelled = spark.createDataFrame(
+        [(u, "allow" if r in ("good/", "html/", "https/") else "block") for u, r in made], "url string, label string"
+    )
+    parts = labelled.select("url", "label", urls.host_of().alias("host"), urls.path_of().alias("path"))
+    tokens = parts.select(urls.url_tokens().alias("tokens"), "label")
+    asked = ["http://z.org/x/y/bad", "http://z.org/x/y/good", "http://z.org/n/1.exe", "http://z.org/n/1.html", "ftp://z.biz/", "http://c.com/rare"]
+    support = inspect.signature(urls.judge_urls).parameters["min_support"].default
+    sets = spark.createDataFrame([(u,) for u in asked], "url string").select("url", urls.host_of().alias("host"), urls.path_of().alias("path"))
+    out = urls.match_rules(sets.select(F.col("url").alias("set_id"), urls.url_tokens().alias("tokens")), urls.mine_rules(tokens, support, 0.8))
+    assert {r["set_id"]: r["label"] for r in out.collect()} == dict(zip(asked, ["block", "allow", "block", "allow", "block", "block"]))
