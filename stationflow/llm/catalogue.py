@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from stationflow.llm import html, lines, mixing, packing, search, simhash, token_files, toxicity, urls, vectors
+from stationflow.llm import (
+    html, lexical, lines, merkle, mixing, packing, quality, search, simhash, token_files, toxicity, urls, vectors,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -67,17 +69,45 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(_table(spark, sf_dir, "documents"), from_files=True)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and version of every document."""
+    return merkle.manifest_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_token_files, op3_html, op4_vector_duplicates, op5_packing, op6_top_k, op7_simhash, op8_mixing,
-        op9_url_filter, op10_lines,
+        op9_url_filter, op10_lines, op11_lexical_search, op12_merkle, op13_quality,
     )
 } | {"pipeline": corpus_pipeline.run}
 
 _SPACE = r"[\x20\x09-\x0D]"
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: CRC-32 of the decimal doc_id, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([4294967295], [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))
+))"""
+
+
+def _leaf(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
 #: SQL for DuckDB, where it expresses the query.
 CORPUS_ORACLE: dict[str, str] = {
     # all pairs by brute force, and all that they reach
@@ -131,4 +161,72 @@ CORPUS_ORACLE: dict[str, str] = {
             coalesce(string_agg(start || ':' || (start + length(line)), ',' ORDER BY i) FILTER (WHERE gone), '') AS removed
         FROM r GROUP BY doc_id
     """,
+    # every document against every item
+    "op11_lexical_search": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, {_ASCII}), '{_TERM}') AS t FROM documents),
+        s AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS length FROM d WHERE len(t) > 0),
+        q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, {_ASCII}), '{_TERM}')) AS term FROM benchmark),
+        f AS (
+            SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d)
+            WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term
+        ), w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term, n_docs),
+        p AS (
+            SELECT doc_id, f.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // length))) AS part
+            FROM f JOIN w ON f.term = w.term, s
+        ), r AS (
+            SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM q JOIN p ON q.term = p.term
+            GROUP BY item_id, doc_id HAVING sum(part) > 0
+        ), k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM r)
+        SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+    """,
+    # the trees node by node, and each document's path
+    "op12_merkle": rf"""
+        WITH RECURSIVE leaves AS (
+            SELECT doc_id, lang, {_leaf("text")} AS leaf, {_leaf(f"translate(text, {_ASCII})")} AS other,
+                {_CRC32} % 3 = 0 AS tampered,
+                row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n
+            FROM documents
+        ), tree AS (
+            SELECT lang, 0 AS level, i, leaf AS node, n FROM leaves
+            UNION ALL
+            SELECT lang, level + 1, i // 8, sha256(string_agg(node, '' ORDER BY i)), (n + 7) // 8
+            FROM tree WHERE n > 1 GROUP BY lang, level, i // 8, n
+        ), subroots AS (
+            SELECT lang, node, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1
+        ), top AS (
+            SELECT 0 AS level, i, node, n FROM subroots
+            UNION ALL
+            SELECT level + 1, i // 8, sha256(string_agg(node, '' ORDER BY i)), (n + 7) // 8
+            FROM top WHERE n > 1 GROUP BY level, i // 8, n
+        ), beside AS (
+            SELECT l.doc_id, t.level, t.i, t.node, t.i < l.i // CAST(pow(8, t.level) AS BIGINT) AS before
+            FROM leaves AS l JOIN tree AS t ON l.lang IS NOT DISTINCT FROM t.lang AND t.n > 1
+                AND t.i // 8 = l.i // CAST(pow(8, t.level + 1) AS BIGINT) AND t.i <> l.i // CAST(pow(8, t.level) AS BIGINT)
+            UNION ALL
+            SELECT l.doc_id, s.height + t.level, t.i, t.node, t.i < s.i // CAST(pow(8, t.level) AS BIGINT)
+            FROM leaves AS l JOIN subroots AS s ON l.lang IS NOT DISTINCT FROM s.lang
+                JOIN top AS t ON t.n > 1
+                AND t.i // 8 = s.i // CAST(pow(8, t.level + 1) AS BIGINT) AND t.i <> s.i // CAST(pow(8, t.level) AS BIGINT)
+        ), paths AS (
+            SELECT doc_id, level, coalesce(string_agg(node, '' ORDER BY i) FILTER (WHERE before), '') AS lefts,
+                coalesce(string_agg(node, '' ORDER BY i) FILTER (WHERE NOT before), '') AS rights
+            FROM beside GROUP BY doc_id, level
+        ), steps AS (
+            SELECT l.doc_id, g.level, coalesce(p.lefts, '') AS lefts, coalesce(p.rights, '') AS rights, g.level + 1 = g.height AS last
+            FROM (
+                SELECT l.doc_id, s.height + t.height AS height, unnest(range(s.height + t.height)) AS level
+                FROM leaves AS l JOIN subroots AS s ON l.lang IS NOT DISTINCT FROM s.lang, (SELECT max(level) AS height FROM top) AS t
+            ) AS g JOIN leaves AS l ON l.doc_id = g.doc_id LEFT JOIN paths AS p ON p.doc_id = g.doc_id AND p.level = g.level
+        ), folded AS (
+            SELECT doc_id, 0 AS level, CASE WHEN tampered THEN other ELSE leaf END AS node FROM leaves
+            UNION ALL
+            SELECT f.doc_id, f.level + 1, sha256(s.lefts || f.node || s.rights)
+            FROM folded AS f JOIN steps AS s ON s.doc_id = f.doc_id AND s.level = f.level
+        ), proofs AS (SELECT doc_id, sha256(coalesce(string_agg(lefts || rights, '' ORDER BY level), '')) AS proof FROM steps GROUP BY doc_id),
+        ends AS (SELECT doc_id, max_by(node, level) AS node FROM folded GROUP BY doc_id)
+        SELECT l.doc_id, l.leaf, s.node AS subroot, r.node AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
+            e.node AS folded_root, e.node = r.node AS verified
+        FROM leaves AS l JOIN subroots AS s ON l.lang IS NOT DISTINCT FROM s.lang JOIN ends AS e ON e.doc_id = l.doc_id
+            LEFT JOIN proofs AS p ON p.doc_id = l.doc_id, (SELECT node FROM top WHERE n = 1) AS r
+    """,
 }
