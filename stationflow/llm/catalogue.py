@@ -65,7 +65,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that an earlier document has."""
+    """Every document without the passages that an earlier one has."""
     return lines.line_report(_table(spark, sf_dir, "documents"), from_files=True)
 
 
@@ -145,21 +145,38 @@ CORPUS_ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    # clauses with the white space behind them, and from each the run of 30 words or more
     "op10_lines": rf"""
-        WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS u FROM documents),
-        l AS (SELECT doc_id, unnest(u) AS line, generate_subscripts(u, 1) AS i FROM d),
-        p AS (SELECT *, CAST(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) - length(line) - 1 AS start FROM l),
-        n AS (
-            SELECT *, trim(regexp_replace(translate(line, {_ASCII}), '{_SPACE}+', ' ', 'g')) AS norm FROM p
-        ), r AS (
-            SELECT *, length(norm) - length(replace(norm, ' ', '')) >= 4
-                AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS gone FROM n
-        )
-        SELECT doc_id,
-            coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text,
-            CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
-            coalesce(string_agg(start || ':' || (start + length(line)), ',' ORDER BY i) FILTER (WHERE gone), '') AS removed
-        FROM r GROUP BY doc_id
+        WITH d AS (SELECT doc_id, regexp_extract_all(text, '(?s).*?[.!?,;][\x20\x09-\x0D]+|(?s).+$') AS u FROM documents),
+        l AS (SELECT doc_id, unnest(u) AS piece, generate_subscripts(u, 1) AS i FROM d),
+        c AS (
+            SELECT *, CAST(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS stop,
+                trim(regexp_replace(translate(piece, {_ASCII}), '{_SPACE}+', ' ', 'g')) AS norm FROM l
+        ), w AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k,
+                CAST(sum(length(norm) - length(replace(norm, ' ', '')) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS upto
+            FROM c WHERE norm <> ''
+        ), p AS (
+            SELECT w.doc_id, w.k, min(v.k) AS last FROM w
+            JOIN w AS v ON v.doc_id = w.doc_id AND v.k BETWEEN w.k AND w.k + 30
+                AND v.upto >= w.upto - (length(w.norm) - length(replace(w.norm, ' ', '')) + 1) + 30
+            GROUP BY w.doc_id, w.k
+        ), n AS (
+            SELECT p.doc_id, p.k, p.last, string_agg(v.norm, ' ' ORDER BY v.k) AS passage
+            FROM p JOIN w AS v ON v.doc_id = p.doc_id AND v.k BETWEEN p.k AND p.last GROUP BY p.doc_id, p.k, p.last
+        ), r AS (SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, k) > 1 AS again FROM n),
+        g AS (
+            SELECT DISTINCT w.doc_id, w.i FROM r JOIN w ON w.doc_id = r.doc_id AND w.k BETWEEN r.k AND r.last WHERE again
+        ), m AS (
+            SELECT c.doc_id, c.i, c.piece, c.stop - length(c.piece) AS start, c.stop, g.i IS NOT NULL AS gone
+            FROM c LEFT JOIN g ON g.doc_id = c.doc_id AND g.i = c.i
+        ), s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - row_number() OVER (PARTITION BY doc_id, gone ORDER BY i) AS run FROM m),
+        x AS (SELECT doc_id, min(start) AS a, max(stop) AS b FROM s WHERE gone GROUP BY doc_id, run),
+        y AS (SELECT doc_id, count(*) AS n_removed, string_agg(a || ':' || b, ',' ORDER BY a) AS removed FROM x GROUP BY doc_id),
+        t AS (SELECT doc_id, string_agg(piece, '' ORDER BY i) AS text FROM m WHERE NOT gone GROUP BY doc_id)
+        SELECT documents.doc_id, CASE WHEN documents.text IS NULL THEN NULL ELSE coalesce(t.text, '') END AS text,
+            coalesce(y.n_removed, 0) AS n_removed, coalesce(y.removed, '') AS removed
+        FROM documents LEFT JOIN t ON t.doc_id = documents.doc_id LEFT JOIN y ON y.doc_id = documents.doc_id
     """,
     # every document against every item
     "op11_lexical_search": rf"""

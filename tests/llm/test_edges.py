@@ -94,7 +94,7 @@ def test_simhash_of_documents_without_an_id(spark):
 
 
 def test_lines(docs, none):
-    out = {(r["doc_id"], r["text"]): r["n_removed"] for r in lines.line_report(docs).collect()}
+    out = {(r["doc_id"], r["text"]): r["n_removed"] for r in lines.line_report(docs, unit="line").collect()}
     assert out[1, DOCS[0][1]] == 0
     assert out[None, "short"] == 1
     assert out[5, ""] == 1 and out[3, None] == 0 and out[2, ""] == 0
@@ -104,6 +104,16 @@ def test_lines(docs, none):
     assert lines.line_report(none).count() == 0 and lines.remove_repeats(none).count() == 0
 
 
+def test_passages(spark, none):
+    words = "a, b. " * 20
+    rows = [(1, words), (2, f"own {words}"), (2, f"own {words}"), (None, words), (3, None), (4, ""), (5, " \n"), (6, "x, " * 60_000), (7, "short, text.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("start", F.lit(1)).withColumn("digest", F.lit("x")).repartition(3)
+    out = Counter((r["doc_id"], r["text"] if r["text"] is None else r["text"][:8]) for r in lines.line_report(docs).collect())
+    # the second row of document 2 has all its passages before; within a document the clauses that come first stay
+    assert out == Counter({(1, "a, b. "): 1, (2, "own a, "): 1, (2, ""): 1, (None, ""): 1, (3, None): 1, (4, ""): 1, (5, " \n"): 1, (6, "x, "): 1, (7, "short, t"): 1})
+    assert lines.remove_repeats(docs).columns == docs.columns
+
+
 def test_mixing(docs, none):
     out = mixing.mix_report(docs).collect()
     assert Counter(r["doc_id"] for r in out) == EVERY

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, an exact round trip or held-out labels."""
 
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -319,6 +320,40 @@ def test_paragraphs_and_offsets(spark):
     assert [(s["start"], s["end"]) for s in out[1]["removed"]] == [(0, text[1].index("\n\n"))]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "c,", "d.", "d.\n", "E", "é;"]), max_size=50).map(" ".join), min_size=1, max_size=6), st.integers(1, 6))
+def test_passages_by_brute_force(texts, min_words):
+    """Each passage against all earlier ones; what is cut out is the clauses of those that stand before."""
+    seen, expected, got = set(), [], []
+    for text in texts:
+        pieces = re.findall(r"(?s).*?[.!?,;][ \t-\r]+|.+$", text)
+        norms = [" ".join(p.lower().split()) for p in pieces]
+        at = [i for i, n in enumerate(norms) if n]
+        gone = set()
+        for x, i in enumerate(at):
+            for y in range(x, len(at)):
+                passage = " ".join(norms[j] for j in at[x : y + 1])
+                if len(passage.split()) >= min_words:
+                    if passage in seen:
+                        gone.update(at[x : y + 1])
+                    seen.add(passage)
+                    break
+        expected.append("".join(p for i, p in enumerate(pieces) if i not in gone))
+    known = set()
+    for text in texts:
+        starts = set()
+        for start, _, digest in lines.units_of(text, "passage", min_words):
+            if digest in known:
+                starts.add(start)
+            known.add(digest)
+        clean, kept_starts, kept_ends, gone_starts, gone_ends = lines.cut(text, starts, "passage", min_words)
+        assert clean == "".join(text[a:b] for a, b in zip(kept_starts, kept_ends))
+        cuts = sorted({0, len(text), *gone_starts, *gone_ends})
+        assert sorted([*zip(kept_starts, kept_ends), *zip(gone_starts, gone_ends)]) == list(zip(cuts, cuts[1:]))
+        got.append(clean)
+    assert got == expected
+
+
 @pytest.mark.parametrize("sizes", [[100] * 40, [5], [0, 0], [1, 1000, 1, 1], list(range(1, 60))])
 def test_targets(spark, sizes):
     rows = [(f"s{i:03}" if i else None, n) for i, n in enumerate(sizes)]
