@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import lines, mixing, packing, shingles, toxicity
+from stationflow.llm import lines, mixing, packing, simhash, toxicity
 from stationflow.llm.scratch import new_path
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
@@ -22,12 +22,12 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
-    return shingles.one_of_each(docs, 5, 0.8, from_files=True)
+    """One document of each group whose SimHash fingerprints hang together: three-word shingles, 3 bits or fewer apart."""
+    return simhash.one_of_each(docs, from_files=True)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier document has."""
+    """Documents without the passages that an earlier place has."""
     return lines.remove_repeats(docs, from_files=True)
 
 
