@@ -18,94 +18,86 @@ from stationflow.llm.toxicity import held_out
 _BITS = 16
 _SIZE = 1 << _BITS
 FAMILIES = 3
-_CACHED_WORDS = 200_000
 _SLICE = 256
+_PIECE = 1 << 18
 _SYMBOLS = b"#*$%&|<>"
 _BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
+#: Odd multipliers; a bucket is the upper bits of a product.
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
-def _bucket(data: bytes, family: int) -> int:
-    return (zlib.crc32(data, family) & (_SIZE - 1)) + family * _SIZE
+def _bucket(mixed: np.ndarray, family: int) -> np.ndarray:
+    return (((mixed ^ (mixed >> np.uint64(29))) * _ODD[0]) >> np.uint64(64 - _BITS)).astype(np.int64) + family * _SIZE
 
 
-def word_grams(word: bytes) -> list[int]:
-    """Buckets of the 2- to 4-character grams of a word (UTF-8) between spaces, repeats included."""
-    marked = f" {word.decode('utf-8', 'surrogatepass')} "
-    grams = (marked[i : i + n] for n in (2, 3, 4) for i in range(len(marked) - n + 1))
-    return [_bucket(g.encode("utf-8", "surrogatepass"), 1) for g in grams]
-
-
-class Words(dict):
-    """A number for each word met, with what its words and grams weigh; emptied between texts when it has grown."""
-
-    def __init__(self, weights: np.ndarray | None = None):
-        super().__init__()
-        self.weights = weights
-        self._empty()
+@dataclass(frozen=True)
+class Words:
+    """The words of a text: the number of each among the distinct ones, and a hash of each of those."""
 
-    def _empty(self) -> None:
-        self.clear()
-        self.hashes, self.sums = np.empty(1024, np.uint64), np.empty(1024)
-        self.units: list[int] = []
-        self.grams: list[list[int]] = []
+    joined: bytes
+    numbers: np.ndarray
+    hashes: np.ndarray
 
-    def __missing__(self, word: bytes) -> int:
-        number = len(self)
-        self[word] = number
-        if number == len(self.hashes):
-            self.hashes, self.sums = (np.concatenate([x, np.empty_like(x)]) for x in (self.hashes, self.sums))
-        unit, grams = _bucket(word, 0), word_grams(word)
-        self.hashes[number] = zlib.crc32(word, 7)
-        if self.weights is None:
-            self.units.append(unit)
-            self.grams.append(grams)
-        else:
-            self.sums[number] = self.weights[unit] + self.weights[grams].mean()
-        return number
+    @classmethod
+    def of(cls, data: bytes) -> Words:
+        words = data.split()
+        places = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        hashes = np.fromiter(map(zlib.crc32, places), np.uint64, len(places))
+        return cls(b" ".join(words), np.fromiter(map(places.__getitem__, words), np.int64, len(words)), hashes)
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > _CACHED_WORDS:
-            self._empty()
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+    def units(self) -> np.ndarray:
+        """Buckets of the words, repeats included."""
+        return _bucket(self.hashes, 0)[self.numbers]
 
-    def pairs(self, numbers: np.ndarray) -> np.ndarray:
+    def pairs(self) -> np.ndarray:
         """Buckets of the pairs of neighbouring words."""
-        own = self.hashes[numbers]
-        mixed = own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-        return (mixed >> np.uint64(64 - _BITS)).astype(np.int64) + 2 * _SIZE
-
-    def logit(self, numbers: np.ndarray) -> float:
+        own = self.hashes[self.numbers]
+        return _bucket(own[:-1] * _ODD[1] + own[1:] * _ODD[2], 2)
+
+    def grams(self) -> Iterator[np.ndarray]:
+        """Buckets of the grams of 2 to 4 characters of each word between spaces, repeats included, a piece at a time."""
+        if not len(self.numbers):
+            return
+        text = f" {self.joined.decode('utf-8', 'surrogatepass')} "
+        for at in range(0, len(text), _PIECE):
+            codes = np.frombuffer(text[at : at + _PIECE + 3].encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+            inner = codes != 32
+            mixed, whole = codes * _ODD[0], np.ones(len(codes), bool)
+            for n in (2, 3, 4):
+                if len(codes) < n:
+                    break
+                mixed = mixed[:-1] + codes[n - 1 :] * _ODD[n - 1]
+                whole = whole[:-1] if n == 2 else whole[:-1] & inner[n - 2 : -1]
+                yield _bucket(mixed[:_PIECE][whole[:_PIECE]] + np.uint64(n), 1)
+
+    def logit(self, weights: np.ndarray) -> float:
         """What the words, their grams and their pairs weigh, on average of each."""
-        if not len(numbers):
+        n = len(self.numbers)
+        if not n:
             return 0.0
-        pairs = float(self.weights[self.pairs(numbers)].mean()) if len(numbers) > 1 else 0.0
-        return float(self.sums[numbers].mean()) + pairs
-
-    def features(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets and values of one text, so that `logit` is their product with the weights."""
-        if not len(numbers):
-            return np.empty(0, np.int32), np.empty(0, np.float32)
-        n = len(numbers)
-        kinds, counts = np.unique(numbers, return_counts=True)
-        parts = [(np.array([self.units[i] for i in kinds]), counts / n)]
-        parts += [(np.array(self.grams[i]), np.full(len(self.grams[i]), c / n / len(self.grams[i]))) for i, c in zip(kinds, counts)]
-        if n > 1:
-            parts.append((self.pairs(numbers), np.full(n - 1, 1 / (n - 1))))
-        buckets, places = np.unique(np.concatenate([b for b, _ in parts]), return_inverse=True)
-        values = np.bincount(places, np.concatenate([v for _, v in parts]))
-        return buckets.astype(np.int32), values.astype(np.float32)
+        parts = [(float(weights[g].sum()), len(g)) for g in self.grams()]
+        total = float(weights[self.units()].mean()) + sum(p for p, _ in parts) / sum(k for _, k in parts)
+        return total + (float(weights[self.pairs()].mean()) if n > 1 else 0.0)
+
+    def features(self) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets and values, so that `logit` is their product with the weights."""
+        buckets, values = [np.empty(0, np.int64)], [np.empty(0)]
+        for found in ([self.units()], self.grams(), [self.pairs()] if len(self.numbers) > 1 else []):
+            own, often = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
+            buckets.append(own)
+            values.append(often / max(1, often.sum()))
+        return np.concatenate(buckets).astype(np.int32), np.concatenate(values).astype(np.float32)
 
 
 def repeated_words(numbers: np.ndarray) -> int:
-    """How many words lie in 3-word windows that occur twice or more."""
+    """How many words, given by numbers below their count, lie in 3-word windows that occur twice or more."""
     if len(numbers) < 4:
         return 0
-    _, dense = np.unique(numbers, return_inverse=True)
-    k = int(dense.max()) + 1
-    codes = dense[:-1] * k + dense[1:]
+    k = int(numbers.max()) + 1
+    codes = numbers[:-1] * k + numbers[1:]
     if k > 2_000_000:
         _, codes = np.unique(codes, return_inverse=True)
-    codes = codes[:-1] * k + dense[2:]
+    codes = codes[:-1] * k + numbers[2:]
     order = np.argsort(codes, kind="stable")
     same = codes[order][1:] == codes[order][:-1]
     twice = np.zeros(len(codes), bool)
@@ -117,16 +109,16 @@ def repeated_words(numbers: np.ndarray) -> int:
     return int(inside.sum())
 
 
-def counts(data: bytes, numbers: np.ndarray) -> tuple[int, int, int, int, int]:
-    """`n_words`, `word_chars`, `n_symbols`, `n_dup_lines`, `n_repeat_words` of a text in UTF-8 and its words' numbers."""
+def counts(data: bytes, words: Words) -> tuple[int, int, int, int, int]:
+    """`n_words`, `word_chars`, `n_symbols`, `n_dup_lines`, `n_repeat_words` of a text in UTF-8 and its words."""
     inked = data.translate(None, _BLANKS)
     lines = [line for line in data.split(b"\n") if line.strip()]
     return (
-        len(numbers),
+        len(words.numbers),
         len(inked.decode("utf-8", "surrogatepass")),
         len(data) - len(data.translate(None, _SYMBOLS)),
         len(lines) - len(set(lines)),
-        repeated_words(numbers),
+        repeated_words(words.numbers),
     )
 
 
@@ -143,8 +135,8 @@ class _Rows:
         self.values = np.concatenate([np.empty(0, np.float32), *values])
 
     def some(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at = np.concatenate([np.arange(self.starts[r], self.starts[r + 1]) for r in rows])
         lengths = self.starts[rows + 1] - self.starts[rows]
+        at = np.repeat(self.starts[rows] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
         return np.repeat(np.arange(len(rows)), lengths), self.columns[at], self.values[at]
 
 
@@ -197,14 +189,14 @@ class Model:
     slope: float
     offset: float
 
-    def rows(self, texts: list[str | None], words: Words) -> list[tuple]:
+    def rows(self, texts: list[str | None]) -> list[tuple]:
         """Counts and probability of each text, null as empty."""
         out = []
         for text in texts:
             data = (text or "").encode("utf-8", "surrogatepass")
-            numbers = words.numbers(data.split())
-            z = self.slope * (words.logit(numbers) + self.bias) + self.offset
-            out.append((*counts(data, numbers), 1 / (1 + np.exp(-min(30.0, max(-30.0, z))))))
+            words = Words.of(data)
+            z = self.slope * (words.logit(self.weights) + self.bias) + self.offset
+            out.append((*counts(data, words), 1 / (1 + np.exp(-min(30.0, max(-30.0, z))))))
         return out
 
     def measures(self, text: Column) -> Column:
@@ -213,9 +205,8 @@ class Model:
 
         @F.pandas_udf(", ".join(f"{f} long" for f in fields[:-1]) + ", probability double")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            words = Words(self.weights)
             for texts in batches:
-                made = [r for at in range(0, len(texts), _SLICE) for r in self.rows(texts.iloc[at : at + _SLICE].tolist(), words)]
+                made = [r for at in range(0, len(texts), _SLICE) for r in self.rows(texts.iloc[at : at + _SLICE].tolist())]
                 yield pd.DataFrame(made, columns=fields).astype({f: "int64" for f in fields[:-1]} | {"probability": "float64"})
             pa.default_memory_pool().release_unused()
 
@@ -223,12 +214,11 @@ class Model:
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = Words()
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             some = batch.slice(at, 64)
-            found = [words.features(words.numbers((t or "").encode("utf-8", "surrogatepass").split())) for t in some["text"].to_pylist()]
-            lists = [pa.array([f[i].tolist() for f in found], pa.list_(kind)) for i, kind in ((0, pa.int32()), (1, pa.float32()))]
+            found = [Words.of((t or "").encode("utf-8", "surrogatepass")).features() for t in some["text"].to_pylist()]
+            lists = [pa.array([f[i] for f in found], pa.list_(kind)) for i, kind in ((0, pa.int32()), (1, pa.float32()))]
             yield pa.record_batch([some["quality"], some["calibrate"], *lists], ["quality", "calibrate", "buckets", "vals"])
 
 

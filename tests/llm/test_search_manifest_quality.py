@@ -233,27 +233,33 @@ def plain_counts(text):
 @settings(max_examples=400, deadline=None)
 def test_counts(text):
     data = text.encode()
-    assert quality.counts(data, quality.Words().numbers(data.split())) == plain_counts(text)
+    assert quality.counts(data, quality.Words.of(data)) == plain_counts(text)
 
 
-def test_logit_is_the_product_of_features_and_weights():
-    weights = np.random.default_rng(0).normal(size=quality.FAMILIES << 16)
-    for text in ("one", "one two two, ONE!", "é " * 50 + "x y", ""):
-        words = text.encode().split()
-        plain, weighted = quality.Words(), quality.Words(weights)
-        buckets, values = plain.features(plain.numbers(words))
-        assert weighted.logit(weighted.numbers(words)) == pytest.approx(float(weights[buckets] @ values), rel=1e-5, abs=1e-6)
+def plain_buckets(text):
+    """Each family's buckets by a loop over words and their grams."""
+    words = quality.Words.of(text.encode())
+    grams = [g for w in WORD.findall(text) for n in (2, 3, 4) for i in range(len(w) + 3 - n) for g in [f" {w} "[i : i + n]]]
+    return len(grams), sum(len(g) for g in words.grams())
+
 
+@pytest.mark.parametrize("piece", [1 << 18, 7])
+def test_grams(monkeypatch, piece):
+    monkeypatch.setattr(quality, "_PIECE", piece)
+    for text in ("one two", "a", "é 𝔘x\nlonger words here  and there", "", " \t"):
+        expected, got = plain_buckets(text)
+        assert got == expected
+    whole = Counter(np.concatenate(list(quality.Words.of(b"word other word").grams())).tolist())
+    apart = sum((Counter(np.concatenate(list(quality.Words.of(w).grams())).tolist()) for w in (b"word", b"other", b"word")), Counter())
+    assert whole == apart
 
-def test_words_are_forgotten_between_texts(monkeypatch):
-    monkeypatch.setattr(quality, "_CACHED_WORDS", 5)
+
+def test_logit_is_the_product_of_features_and_weights():
     weights = np.random.default_rng(0).normal(size=quality.FAMILIES << 16)
-    kept = quality.Words(weights)
-    for i in range(40):
-        words = [f"w{(i * 7 + j) % 50}".encode() for j in range(9)]
-        fresh = quality.Words(weights)
-        assert kept.logit(kept.numbers(words)) == fresh.logit(fresh.numbers(words))
-    assert len(kept) < 20
+    for text in ("one", "one two two, ONE!", "é " * 50 + "x y", ""):
+        words = quality.Words.of(text.encode())
+        buckets, values = words.features()
+        assert words.logit(weights) == pytest.approx(float(weights[buckets] @ values), rel=1e-5, abs=1e-6)
 
 
 def test_calibration_gives_shares():
