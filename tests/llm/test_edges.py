@@ -1,7 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
 
 import inspect
+import random
 from collections import Counter
+from itertools import combinations
 
 import public_tokenizers
 import pytest
@@ -262,7 +264,53 @@ def test_url_segments_and_support(spark):
     parts = labelled.select("url", "label", urls.host_of().alias("host"), urls.path_of().alias("path"))
     tokens = parts.select(urls.url_tokens().alias("tokens"), "label")
     asked = ["http://z.org/x/y/bad", "http://z.org/x/y/good", "http://z.org/n/1.exe", "http://z.org/n/1.html", "ftp://z.biz/", "http://c.com/rare"]
-    support = inspect.signature(urls.judge_urls).parameters["min_support"].default
+    tokens = tokens.coalesce(1).withColumn("row_id", F.monotonically_increasing_id())
+    least = inspect.signature(urls.judge_urls).parameters["min_support"].default * tokens.count()
     sets = spark.createDataFrame([(u,) for u in asked], "url string").select("url", urls.host_of().alias("host"), urls.path_of().alias("path"))
-    out = urls.match_rules(sets.select(F.col("url").alias("set_id"), urls.url_tokens().alias("tokens")), urls.mine_rules(tokens, support, 0.8))
+    classes = urls.token_classes(tokens, least)
+    out = urls.match_rules(sets.select(F.col("url").alias("set_id"), urls.url_tokens().alias("tokens")), urls.mine_rules(tokens, classes, least, 0.8), classes)
     assert {r["set_id"]: r["label"] for r in out.collect()} == dict(zip(asked, ["block", "allow", "block", "allow", "block", "block"]))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rules_by_enumeration(spark, seed):
+    """Every combination of tokens, counted one by one: the same shares decide, and a url goes the way of the best of them."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(300):
+        own = {t for t in "abcdef" if rng.random() < 0.4} | {"all", "every"}
+        own |= {"k1", "k2"} if rng.random() < 0.3 else set()
+        bad = "a" in own and "b" not in own or "k1" in own and rng.random() < 0.9
+        rows.append((i, sorted(own), "block" if bad else "allow"))
+    asked = [(str(i), sorted({t for t in [*"abcdef", "all", "k1", "k2", "new"] if rng.random() < 0.4})) for i in range(80)]
+    least, counted = 12, Counter()
+    for _, own, label in rows:
+        for n in range(1, 5):
+            for some in combinations(own, n):
+                counted[some] += 1
+                counted[some, label] += 1
+    best = {}
+    for some in [k for k in counted if not isinstance(k[0], tuple)]:
+        for label in ("allow", "block"):
+            if counted[some, label] >= least and counted[some, label] / counted[some] >= 0.8:
+                best[some] = (counted[some, label] / counted[some], counted[some, label], label)
+    labelled = spark.createDataFrame(rows, "row_id long, tokens array<string>, label string")
+    classes = urls.token_classes(labelled, least)
+    mined = urls.mine_rules(labelled, classes, least, 0.8)
+    members = {}
+    for r in classes.collect():
+        members.setdefault(r["item"], []).append(r["token"])
+    assert sorted(map(sorted, members.values())) == [*[[t] for t in "a"], ["all", "every"], *[[t] for t in "bcdef"], ["k1", "k2"]]
+    got = {tuple(r["items"]): (r["confidence"], round(r["support"] * 300), r["label"]) for r in mined.collect() if 0 < len(r["items"]) < 5}
+    short = {k: v for k, v in best.items() if not {"all", "every", "k2"} & set(k)}
+    assert {k: v for k, v in got.items() if len(k) < 5} == {k: (pytest.approx(v[0]), *v[1:]) for k, v in short.items()}
+    out = {r["set_id"]: r["label"] for r in urls.match_rules(spark.createDataFrame(asked, "set_id string, tokens array<string>"), mined, classes).collect()}
+    every = {tuple(r["items"]): (r["confidence"], r["support"] * 300, r["label"]) for r in mined.collect()}
+    for name, own in asked:
+        items = {i for i, m in members.items() if set(m) & set(own)}
+        fits = [(v[0], v[1], len(k), v[2]) for k, v in every.items() if (set(k) <= items if k else "all" in own or "every" in own)]
+        if not fits:
+            assert name not in out
+            continue
+        top = max(f[:3] for f in fits)
+        assert out[name] in {f[3] for f in fits if f[:3] == pytest.approx(top)}
