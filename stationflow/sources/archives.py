@@ -127,6 +127,26 @@ def unpack_trip_archives(
     that fails for another reason fails the task. ``opener`` opens a path of a
     file system that Arrow does not know.
     """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.zip")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path")
+    )
+    return unpack_listed(listed, schema, renames, members, parallelism, opener)
+
+
+def unpack_listed(
+    listed: DataFrame,
+    schema: T.StructType = TRIP_RAW,
+    renames: Mapping[str, str] | None = None,
+    members: str = "*.csv",
+    parallelism: int | None = None,
+    opener: Opener = open_path,
+) -> DataFrame:
+    """``unpack_trip_archives`` for the archives whose ``path`` is listed."""
+    spark = listed.sparkSession
     columns = schema.fieldNames()
     renames = dict(renames or {})
     out = [*columns, CORRUPT, _LINE, ARCHIVE, MEMBER, ERROR]
@@ -167,20 +187,13 @@ def unpack_trip_archives(
                     for values in _member_batches(archive, row[MEMBER], columns, renames):
                         yield emit(values, len(values[_LINE]), **row)
 
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path")
-    )
     # A count of paths says nothing about the work behind them, so the number
     # of tasks is set here; adaptive execution would merge these tiny rows.
     tasks = parallelism or max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
     text = (
-        listing.mapInArrow(list_members, f"{ARCHIVE} string, {MEMBER} string, {ERROR} string")
+        listed.select("path").mapInArrow(list_members, f"{ARCHIVE} string, {MEMBER} string, {ERROR} string")
         .repartition(tasks, ARCHIVE, MEMBER)
         .mapInArrow(read_members, ", ".join(f"{name} string" for name in out))
     )
