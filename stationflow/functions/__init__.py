@@ -6,8 +6,10 @@ from stationflow.functions.numbers import (
     availability_ratio,
     demand_ratio,
     exact_mean,
+    exact_parts,
     exact_sum,
     gap_score,
+    mean_of_parts,
     pct,
     round_half_up,
     share_pct,
@@ -15,7 +17,7 @@ from stationflow.functions.numbers import (
 from stationflow.functions.times import day_name, parse_time, trip_minutes
 
 __all__ = [
-    "availability_ratio", "day_name", "demand_ratio", "exact_mean", "exact_sum",
-    "gap_score", "gap_severity", "normalise_name", "parse_time", "pct",
+    "availability_ratio", "day_name", "demand_ratio", "exact_mean", "exact_parts", "exact_sum",
+    "gap_score", "gap_severity", "mean_of_parts", "normalise_name", "parse_time", "pct",
     "round_half_up", "severity_level", "share_pct", "time_period", "trip_minutes",
 ]

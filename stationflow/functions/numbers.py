@@ -27,9 +27,19 @@ def exact_sum(value: Column, digits: int) -> Column:
     return F.sum(_scaled(value, digits)) / F.lit(float(10**digits))
 
 
+def exact_parts(value: Column, digits: int) -> tuple[Column, Column]:
+    """Integer sum and count, from which ``mean_of_parts`` gives the mean; parts of groups add up."""
+    return F.sum(_scaled(value, digits)), F.count(value)
+
+
+def mean_of_parts(total: Column, count: Column, digits: int) -> Column:
+    """The mean that ``exact_parts`` stand for; NULL without values."""
+    return F.try_divide(total, count * F.lit(10**digits))
+
+
 def exact_mean(value: Column, digits: int) -> Column:
     """Mean of values known to carry at most ``digits`` decimals (see ``exact_sum``)."""
-    return F.try_divide(F.sum(_scaled(value, digits)), F.count(value) * F.lit(10**digits))
+    return mean_of_parts(*exact_parts(value, digits), digits)
 
 
 def availability_ratio(bikes: Column, capacity: Column) -> Column:
