@@ -58,8 +58,11 @@ def register_external(
     partitioned_by: Sequence[str] = (),
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Create or replace a table over existing files; the files stay in place."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Create or replace a table over existing files; the files stay in place.
+
+    An earlier table keeps its name until the new one stands beside it.
+    """
+    draft, former = _beside(name)
     extra = dict(options or {})
     columns = ""
     if schema is not None:
@@ -68,16 +71,33 @@ def register_external(
     given = ", ".join(f"{_quoted(k)} {_quoted(v)}" for k, v in extra.items())
     layout = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     spark.sql(
-        f"CREATE TABLE {name}{columns} USING {fmt}"
+        f"CREATE TABLE {draft}{columns} USING {fmt}"
         + (f" OPTIONS ({given})" if given else "")
         + layout
         + f" LOCATION {_quoted(path)}"
     )
     if partitioned_by:
-        spark.catalog.recoverPartitions(name)
+        spark.catalog.recoverPartitions(draft)
+    if _take_over(spark, draft, name, former):
+        spark.sql(f"DROP TABLE {former}")
     return spark.table(name)
 
 
+def _beside(name: str) -> tuple[str, str]:
+    """Names for a table under way and for the one it replaces."""
+    mark = uuid.uuid4().hex[:12]
+    return f"{name}_draft_{mark}", f"{name}_former_{mark}"
+
+
+def _take_over(spark: SparkSession, draft: str, name: str, former: str) -> bool:
+    """Give ``draft`` the name; whether a table had it, which is ``former`` then."""
+    replaces = spark.catalog.tableExists(name)
+    if replaces:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {former}")
+    spark.sql(f"ALTER TABLE {draft} RENAME TO {name}")
+    return replaces
+
+
 def ensure_layers(spark: SparkSession, layers: Sequence[str] = LAYERS) -> None:
     """Create the layers' databases where they do not exist."""
     for layer in layers:
@@ -97,7 +117,7 @@ def publish(
     cluster_by: Sequence[str] = (),
     buckets: int | None = None,
 ) -> DataFrame:
-    """Publish ``df`` as a view (recomputed on read) or a stored table.
+    """Publish ``df`` as a temporary view (recomputed on read) or a stored table.
 
     ``cluster_by`` sorts the files, so that row groups of a column chunk can be
     skipped; with ``buckets`` it also co-locates later joins on those columns.
@@ -106,6 +126,8 @@ def publish(
     """
     spark = df.sparkSession
     if as_ == "view":
+        if "." in name:
+            raise ValueError(f"{name}: a view in a layer is kept as SQL text; use publish_view, or as_='table'")
         df.createOrReplaceTempView(name)
         return spark.table(name)
     if as_ != "table":
@@ -121,22 +143,30 @@ def publish(
         writer = writer.partitionBy(*partition_by)
     if buckets:
         writer = writer.bucketBy(buckets, *cluster_by).sortBy(*cluster_by)
-    draft, former = (f"{name}_{kind}_{uuid.uuid4().hex[:12]}" for kind in ("draft", "former"))
+    draft, former = _beside(name)
     if partition_by:
         # A renamed table keeps its partitions only where its files stay in place.
         database = name.rpartition(".")[0] or spark.catalog.currentDatabase()
         folder = spark.catalog.getDatabase(database).locationUri
         writer = writer.option("path", f"{folder}/{draft.rpartition('.')[2]}")
     writer.saveAsTable(draft)
-    replaces = spark.catalog.tableExists(name)
-    if replaces:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {former}")
-    spark.sql(f"ALTER TABLE {draft} RENAME TO {name}")
-    if replaces:
+    if _take_over(spark, draft, name, former):
         _drop_with_files(spark, former)
     return spark.table(name)
 
 
+def publish_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """Create or replace a view that every session reads, in its layer, from SQL text over stored tables.
+
+    Such a view is kept as text, so a DataFrame can't become one; ``publish`` gives that a temporary view.
+    """
+    layer = name.rpartition(".")[0]
+    if layer:
+        ensure_layers(spark, [layer])
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)
+
+
 def _drop_with_files(spark: SparkSession, name: str) -> None:
     """Drop a table that ``publish`` wrote, and its files where the catalogue doesn't."""
     details = dict(spark.sql(f"DESCRIBE TABLE EXTENDED {name}").select("col_name", "data_type").collect())
