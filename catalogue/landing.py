@@ -13,11 +13,11 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 
-def write_trip_archives(df: DataFrame, path: str, broken: bool = False) -> None:
+def write_trip_archives(df: DataFrame, path: str, broken: bool = False, every: int = 2) -> None:
     """Trips as zip archives below a local ``path``, one CSV member and one archive per task.
 
     A task writes under a name of its own attempt and renames the archive when it
-    is complete. ``broken`` spoils the last bytes of every other member's data.
+    is complete. ``broken`` spoils bytes amid the data of one member in ``every``.
     """
     header = ",".join(df.columns)
     options = {
@@ -47,7 +47,7 @@ def write_trip_archives(df: DataFrame, path: str, broken: bool = False) -> None:
                     for line in batch.column("line"):
                         member.write(line.as_buffer().to_pybytes() + b"\n")
             info = archive.infolist()[0]
-        if broken and part % 2 == 0:
+        if broken and part % every == 0:
             with open(draft, "r+b") as file:
                 file.seek(info.header_offset + info.compress_size // 2)
                 file.write(bytes(64))

@@ -381,6 +381,22 @@ oracle(
        FROM trips_raw GROUP BY ALL""",
     "trips_raw",
 )
+oracle(
+    "trips_archives_incremental",
+    """SELECT ride_id, CAST(CAST(split_part(ride_id, '-', 1) AS BIGINT) % 3 - 1 AS BIGINT) AS load
+       FROM trips_raw WHERE CAST(split_part(ride_id, '-', 1) AS BIGINT) % 3 <> 0""",
+    "trips_raw",
+)
+oracle(
+    "layer_views",
+    """SELECT 'trips' AS table_name, 'VIEW' AS table_type, count(*) AS rows FROM stg_trips
+       UNION ALL SELECT 'snapshots', 'VIEW', count(*) FROM stg_snapshots
+       UNION ALL SELECT 'stations', 'VIEW', count(*) FROM stg_stations""",
+    "stg_trips",
+    "stg_snapshots",
+    "stg_stations",
+)
+oracle("demand_incremental", "SELECT * FROM demand", "demand")
 oracle(
     "trips_archive_results",
     """SELECT count(*) AS rows, CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS errors

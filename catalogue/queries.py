@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -14,6 +15,7 @@ from stationflow.functions import gap_severity
 from stationflow.operators import (
     availability,
     demand,
+    demand_states,
     gap,
     quality,
     ranking,
@@ -21,7 +23,7 @@ from stationflow.operators import (
     staging,
     trips,
 )
-from stationflow.plans import mart as plans
+from stationflow.plans import layers, mart as plans
 from stationflow.schemas import RIDER_KINDS, SEVERITIES, SNAPSHOT, TRIP_CLEAN, TRIP_RAW
 from stationflow.session import CHECKPOINT_DIR, materialise, scratch_path
 from stationflow.sources import (
@@ -32,7 +34,7 @@ from stationflow.sources import (
     snapshots as snap,
     trips as trip_sources,
 )
-from stationflow.streaming import snapshots as streams
+from stationflow.streaming import archives as archive_loads, snapshots as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,15 +207,19 @@ def _archived(spark: SparkSession, raw: DataFrame) -> DataFrame:
 
 
 def _thirds_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips in three archives by their order; the archive of every third order is damaged."""
+    """Trips in three folders of archives by their order; the archives of every third order are damaged."""
     path = scratch_path(spark, "archives")
-    raw = fx.trips_raw(spark, sf_dir)
-    third = F.substring_index("ride_id", "-", 1).cast("bigint") % 3
     for i in range(3):
-        write_trip_archives(raw.filter(third == i).coalesce(1), f"{path}/{i}", broken=i == 0)
+        _land_third(spark, sf_dir, i, path)
     return archives.unpack_trip_archives(spark, path)
 
 
+def _land_third(spark: SparkSession, sf_dir: str, i: int, path: str) -> None:
+    raw = fx.trips_raw(spark, sf_dir)
+    third = F.substring_index("ride_id", "-", 1).cast("bigint") % 3
+    write_trip_archives(raw.filter(third == i), f"{path}/{i}", broken=i == 0, every=1)
+
+
 def _good(unpacked: DataFrame) -> DataFrame:
     read = F.col(archives.ERROR).isNull() & F.col(trip_sources.CORRUPT).isNull()
     return unpacked.filter(read).select(*TRIP_RAW.fieldNames())
@@ -249,7 +255,23 @@ def trips_archive_results(spark, sf_dir):
 
 @query
 def files_ingest_report(spark, sf_dir):
-    return archives.ingest_report(archives.archive_results(_thirds_archived(spark, sf_dir)))
+    """Folders of archives that loaded and that failed; how many archives a folder has is up to the tasks."""
+    results = archives.archive_results(_thirds_archived(spark, sf_dir))
+    folder = F.element_at(F.split("path", "/"), -2)
+    return archives.ingest_report(results.groupBy(folder.alias("path")).agg(F.max("error").alias("error")))
+
+
+@query
+def trips_archives_incremental(spark, sf_dir):
+    """Archives that arrive between runs: each trip with the load that brought it, none twice, none of a damaged archive."""
+    path, out, ledger, state = (scratch_path(spark, name) for name in ("archives", "loaded", "ledger", "state"))
+    for arrived in ((1,), (2, 0), ()):
+        for i in arrived:
+            _land_third(spark, sf_dir, i, path)
+        archive_loads.load_new_archives(spark, path, out, ledger, state)
+    loads = archive_loads.read_ledger(spark, ledger).where("error is null").select("path", "load")
+    trips_loaded = archive_loads.read_loaded(spark, out, all_rows=True)
+    return trips_loaded.join(loads, F.col(archives.ARCHIVE) == F.col("path")).select("ride_id", "load")
 
 
 @query
@@ -415,12 +437,44 @@ def trips_months_replaced(spark, sf_dir):
 
 @query
 def storage_inventory(spark, sf_dir):
-    """Files of the trips by month, as listed after a write."""
+    """Folders of the trips by month, as the inventory lists them after a write."""
     path = scratch_path(spark, "trips")
     sinks.write_trips(clean(spark, sf_dir), path, compact=True)
-    files = listing.list_files(spark, path, "*.parquet")
-    month = F.regexp_extract("key", "year=([0-9]+)/month=([0-9]+)/", 0)
-    return files.groupBy(month.alias("folder")).agg((F.min("size_bytes") > 0).alias("has_data"))
+    found = listing.storage_inventory(spark, path, depth=2).filter(F.col("folder").startswith("year="))
+    filled = (F.col("files") > 0) & (F.col("bytes") > 0)
+    return found.select(F.concat("folder", F.lit("/")).alias("folder"), filled.alias("has_data"))
+
+
+@query
+def layer_views(spark, sf_dir):
+    """Views of the staging layer over the raw layer's tables, listed and counted by another session."""
+    raw, staged = _database(spark, "raw"), _database(spark, "staging")
+    sinks.ensure_layers(spark, [raw, staged])
+    tables = {"trips": clean, "snapshots": fx.snapshots, "stations": fx.stations}
+    for name, rows in tables.items():
+        sinks.publish(rows(spark, sf_dir), sinks.qualified(raw, name), as_="table")
+    layers.publish_staging(spark, raw, staged)
+    other = spark.newSession()
+    counts = [
+        other.table(sinks.qualified(staged, name)).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+        for name in tables
+    ]
+    return sinks.list_layer(other, staged).join(reduce(DataFrame.unionByName, counts), "table_name")
+
+
+@query
+def demand_incremental(spark, sf_dir):
+    """Demand from states per month, after a late load for one month of which only part had come."""
+    path, states = scratch_path(spark, "trips"), scratch_path(spark, "states")
+    rows = clean(spark, sf_dir)
+    late = "year = 1995 and month = 6"
+    sinks.write_trips(rows.filter(f"not ({late}) or member_casual = 'member'"), path, compact=True)
+    demand_states.refresh_states(staging.stage_trips(trip_sources.read_trips(spark, path)), states)
+    load = rows.filter(late)
+    sinks.write_trips(load, path, compact=True)
+    months = demand_states.touched_months(load)
+    demand_states.refresh_states(staging.stage_trips(trip_sources.read_trips(spark, path)), states, months)
+    return demand_states.merge_states(demand_states.read_states(spark, states))
 
 
 # File listing --------------------------------------------------------------
