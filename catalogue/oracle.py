@@ -843,3 +843,27 @@ oracle(
         WHERE window_end <= (SELECT max(snapshot_at) - INTERVAL 30 MINUTE FROM stg_snapshots)""",
     "with_capacity",
 )
+relation(
+    "first_readings",
+    """
+    SELECT * FROM stg_snapshots QUALIFY row_number() OVER (
+        PARTITION BY station_id, snapshot_at
+        ORDER BY num_bikes_available, num_ebikes_available, num_docks_available, num_bikes_disabled,
+                 is_installed, is_renting, is_returning) = 1
+    """,
+    "stg_snapshots",
+)
+relation(
+    "with_capacity_once",
+    _CAPACITY.format(taken="s.snapshot_at, s.snapshot_hour, s.snapshot_date").replace("stg_snapshots", "first_readings"),
+    "first_readings",
+    "stg_stations",
+)
+oracle(
+    "stream_corrected_availability",
+    f"""SELECT date_trunc('hour', snapshot_at) AS window_start,
+               date_trunc('hour', snapshot_at) + INTERVAL 1 HOUR AS window_end,
+               station_id, station_name, latitude, longitude, total_capacity, {_MEASURES}
+        FROM with_capacity_once GROUP BY ALL""",
+    "with_capacity_once",
+)

@@ -34,7 +34,7 @@ from stationflow.sources import (
     snapshots as snap,
     trips as trip_sources,
 )
-from stationflow.streaming import archives as archive_loads, snapshots as streams
+from stationflow.streaming import archives as archive_loads, corrections, snapshots as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -856,3 +856,19 @@ def stream_windowed_availability(spark, sf_dir):
         [readings.filter("snapshot_at < '2024-01-16'"), readings.filter("snapshot_at >= '2024-01-16'")],
         lambda staged: streams.windowed_availability(staged, known),
     )
+
+
+@query
+def stream_corrected_availability(spark, sf_dir):
+    """All windows, after late readings and repeats of old ones came in later loads."""
+    readings = fx.snapshots(spark, sf_dir)
+    old, late = F.col("snapshot_at") < "2024-01-16", F.substring("snapshot_at", 19, 1).isin("3", "7")
+    first = readings.filter(old & ~late)
+    loads = [first, readings.filter(~old), readings.filter(old & late).unionByName(first)]
+    src, store, windows, state = (scratch_path(spark, label) for label in ("landed", "store", "windows", "state"))
+    for load in loads:
+        sinks.append_snapshots(load, src)
+        staged = streams.stage_stream(spark, src)
+        known = lambda session: staging.stage_stations(fx.stations(session, sf_dir))
+        corrections.keep_availability(staged, known, store, windows, state)
+    return corrections.read_windows(spark, windows)

@@ -1,11 +1,12 @@
 from datetime import datetime, timedelta
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from stationflow.operators import staging
 from stationflow.sources import sinks
-from stationflow.streaming import snapshots as streams
+from stationflow.streaming import corrections, snapshots as streams
 
 START = datetime(2024, 1, 1)
 
@@ -90,3 +91,36 @@ def test_late_readings_of_closed_windows_are_ignored(spark, tmp_path):
         found = drain(windows, spark, tmp_path, "out")
     first = found.filter(F.col("window_start") == F.lit("2024-01-01 00:00:00").cast("timestamp"))
     assert [r.snapshot_count for r in first.collect()] == [1]
+
+
+def test_late_and_repeated_readings_correct_their_windows(spark, tmp_path, monkeypatch):
+    src, store, windows, state = (str(tmp_path / n) for n in ("src", "store", "windows", "state"))
+    known = [stations(spark)]
+
+    def run():
+        corrections.keep_availability(streams.stage_stream(spark, src), lambda session: known[0], store, windows, state)
+        found = corrections.read_windows(spark, windows).orderBy("station_id", "window_start").collect()
+        return [(r["station_id"], r["snapshot_count"], r["avg_bikes_available"]) for r in found]
+
+    sinks.append_snapshots(polls(spark, [0, 15, 60 * 24 * 9]), src)
+    assert run() == [("a", 2, 4.0), ("a", 1, 4.0)]
+    # far behind any watermark: a repeat, and a late reading beside it; a station that was not known before
+    sinks.append_snapshots(polls(spark, [15]).unionByName(polls(spark, [30], bikes=10)), src)
+    sinks.append_snapshots(polls(spark, [5], station="b"), src)
+    known[0] = known[0].unionByName(known[0].selectExpr("'b' station_id", "'B' station_name", "latitude", "longitude", "total_capacity"))
+    assert run() == [("a", 3, 6.0), ("a", 1, 4.0), ("b", 1, 4.0)]
+    assert run() == [("a", 3, 6.0), ("a", 1, 4.0), ("b", 1, 4.0)]
+    # a load that ends between store and windows is done again, and adds nothing twice
+    sinks.append_snapshots(polls(spark, [45, 45], bikes=2), src)
+    real = corrections.windowed_availability
+
+    def broken(*args):
+        raise OSError("no windows today")
+
+    monkeypatch.setattr(corrections, "windowed_availability", broken)
+    with pytest.raises(Exception, match="no windows today"):
+        run()
+    assert spark.read.parquet(store).count() == 6
+    monkeypatch.setattr(corrections, "windowed_availability", real)
+    assert run() == [("a", 4, 5.0), ("a", 1, 4.0), ("b", 1, 4.0)]
+    assert spark.read.parquet(store).count() == 6
