@@ -20,7 +20,6 @@ SEPARATORS = {"line": r"\n", "paragraph": r"\n[ \t\r\x0b\x0c]*\n\s*", "passage":
 #: The least number of words of a unit.
 MIN_WORDS = {"line": 5, "paragraph": 5, "passage": 30}
 _SLICE = 256
-_SALTS = 32
 
 
 def units(text: str, separator: str) -> Iterator[tuple[int, int, str]]:
@@ -92,8 +91,8 @@ def repeated_units(docs: DataFrame, unit: str = "passage", min_words: int | None
 
     From `row_id`, `doc_id`, `text`. The earliest is the one with the least
     `doc_id` (nulls last), then of the least row, then the first in its text. Units of fewer than `min_words`
-    words (`MIN_WORDS`) are left alone. Digests have 128 bits. Only repeated digests are looked up again, with each of them
-    dealt to 32 tasks, so a line that stands in a third of all documents doesn't meet in one.
+    words (`MIN_WORDS`) are left alone. Digests have 128 bits. Only repeated digests are looked up again; a unit that stands
+    in a third of all documents is one row on one side of the join, whose other side the skew join splits.
     """
     kinds = dict(docs.dtypes)
     found = stored(
@@ -103,15 +102,16 @@ def repeated_units(docs: DataFrame, unit: str = "passage", min_words: int | None
         ),
         "units",
     )
+    # most units stand once: half a digest says so, and only the others are looked at with all they carry
+    twice = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    found = stored(found.join(stored(twice, "repeated-digests"), "digest", "left_semi"), "repeated-units")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", "start")
     repeated = (
         found.groupBy("digest", "digest2").agg(F.min(rank).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
-    dealt = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("row_id", "start"), F.lit(_SALTS)).cast("int"))
     later = (F.col("row_id") != F.col("kept.row_id")) | (F.col("start") != F.col("kept.start"))
     return (
-        salted.join(dealt, ["digest", "digest2", "salt"])
+        found.join(repeated, ["digest", "digest2"])
         .where(later)
         .select("row_id", "start", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"))
     )
