@@ -109,6 +109,8 @@ def repeated_units(docs: DataFrame, unit: str = "passage", min_words: int | None
     repeated = (
         found.groupBy("digest", "digest2").agg(F.min(rank).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
+    # stored, so that both sides of the join come from a shuffle of their own, which the skew join needs
+    repeated = stored(repeated, "earliest-units")
     later = (F.col("row_id") != F.col("kept.row_id")) | (F.col("start") != F.col("kept.start"))
     return (
         found.join(repeated, ["digest", "digest2"])
