@@ -24,7 +24,9 @@ def scratch_dir(spark: SparkSession) -> str:
         return named
     if context.master != "local" and not context.master.startswith("local["):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    return _local.setdefault(context.applicationId, tempfile.mkdtemp(prefix="corpus-"))
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="corpus-")
+    return _local[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
