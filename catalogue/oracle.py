@@ -362,6 +362,15 @@ oracle(
        FROM trips_raw WHERE rideable_type <> 'electric_bike'""",
     "trips_raw",
 )
+oracle(
+    "trips_csv_by_header",
+    """SELECT * FROM trips_raw WHERE CAST(split_part(ride_id, '-', 1) AS BIGINT) % 4 IN (0, 2)
+       UNION ALL
+       SELECT ride_id, NULL, started_at, ended_at, start_station_name, start_station_id,
+              end_station_name, end_station_id, NULL, NULL, NULL, NULL, NULL
+       FROM trips_raw WHERE CAST(split_part(ride_id, '-', 1) AS BIGINT) % 4 = 1""",
+    "trips_raw",
+)
 oracle("trips_archive_scan", "SELECT * FROM trips_raw", "trips_raw")
 oracle(
     "trips_archive_multiline",
@@ -450,13 +459,17 @@ oracle(
         FROM (SELECT {_SNAPSHOT_ROW} FROM snapshots WHERE event_type = 'click')""",
     "snapshots",
 )
-oracle(
-    "snapshots_flattened_new_field",
-    """SELECT station_id, num_bikes_available, num_bikes_available + 1 AS num_scooters, snapshot_at
+_NEW_FIELD = """SELECT station_id, num_bikes_available, num_bikes_available + 1 AS num_scooters, snapshot_at
        FROM (SELECT * FROM snapshots WHERE event_type NOT IN ('error', 'purchase')
              UNION ALL
              SELECT * REPLACE ('other-' || split_part(station_id, '-', 2) AS station_id)
-             FROM snapshots WHERE event_type = 'click')""",
+             FROM snapshots WHERE event_type = 'click')"""
+for _name in ("snapshots_flattened_new_field", "snapshots_variant"):
+    oracle(_name, _NEW_FIELD, "snapshots")
+oracle(
+    "snapshots_field_kinds",
+    f"""SELECT 'num_scooters' AS field, 'BIGINT' AS kind, count(*) AS readings
+        FROM ({_NEW_FIELD}) WHERE num_scooters IS NOT NULL HAVING count(*) > 0""",
     "snapshots",
 )
 _STAGED = """ts AS snapshot_at, CAST(hour(ts) AS INTEGER) AS snapshot_hour,

@@ -29,6 +29,7 @@ from stationflow.session import CHECKPOINT_DIR, materialise, scratch_path
 from stationflow.sources import (
     archives,
     audit,
+    layouts,
     listing,
     sinks,
     snapshots as snap,
@@ -199,6 +200,28 @@ def trips_csv_layouts(spark, sf_dir):
     )
 
 
+@query
+def trips_csv_by_header(spark, sf_dir):
+    """Orders dealt to four kinds of files in one folder: new, old, reordered with one column more, and unknown."""
+    root = scratch_path(spark, "csv")
+    raw = fx.trips_raw(spark, sf_dir)
+    fourth = F.substring_index("ride_id", "-", 1).cast("bigint") % 4
+    kinds = [
+        raw.columns,
+        [F.col(new).alias(old) for old, new in OLD_NAMES.items()],
+        ["member_casual", F.lit("none").alias("promotion"), *reversed(raw.columns[:-1])],
+        [F.col(name).alias(f"{name}_x") for name in raw.columns],
+    ]
+    for i, columns in enumerate(kinds):
+        raw.filter(fourth == i).select(*columns).write.mode("append").option("header", True).option(
+            "ignoreLeadingWhiteSpace", False
+        ).option("ignoreTrailingWhiteSpace", False).csv(root)
+    old = T.StructType([T.StructField(name, T.StringType()) for name in OLD_NAMES])
+    known = [trip_sources.TripLayout(TRIP_RAW), trip_sources.TripLayout(old, OLD_NAMES)]
+    rows, _ = layouts.read_trips_by_header(spark, root, known)
+    return rows
+
+
 def _archived(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """Raw trips, written as zip archives and unpacked again."""
     path = scratch_path(spark, "archives")
@@ -327,9 +350,8 @@ def snapshots_flattened(spark, sf_dir):
     return snap.flatten_snapshot(fx.snapshot_docs(spark, sf_dir), F.col("captured_at"))
 
 
-@query
-def snapshots_flattened_new_field(spark, sf_dir):
-    """Documents with a field that no schema here names, landed as JSON: the field survives."""
+def _new_field_landed(spark, sf_dir):
+    """Documents with a field that no schema here names, landed as JSON."""
     path = scratch_path(spark, "documents")
     stations = F.transform(
         "data.stations", lambda s: s.withField("num_scooters", s["num_bikes_available"] + 1)
@@ -337,12 +359,44 @@ def snapshots_flattened_new_field(spark, sf_dir):
     docs = fx.snapshot_docs(spark, sf_dir)
     docs = docs.withColumn("data", F.when(F.col("data").isNotNull(), F.struct(stations.alias("stations"))))
     docs.write.option("timestampFormat", snap.ISO_TIME).json(path)
-    read = snap.read_snapshot_documents(spark, path, schema=None, one_per_file=False)
+    return path
+
+
+@query
+def snapshots_flattened_new_field(spark, sf_dir):
+    """The new field survives an inferred schema."""
+    read = snap.read_snapshot_documents(
+        spark, _new_field_landed(spark, sf_dir), schema=None, one_per_file=False
+    )
     return snap.flatten_snapshot(read, F.col("captured_at")).select(
         "station_id", "num_bikes_available", "num_scooters", "snapshot_at"
     )
 
 
+def _variant_snapshots(spark, sf_dir):
+    docs = snap.read_variant_documents(spark, _new_field_landed(spark, sf_dir), one_per_file=False)
+    taken = F.try_variant_get(docs[snap.DOC], "$.captured_at", "timestamp")
+    return snap.flatten_variant_snapshot(docs, taken)
+
+
+@query
+def snapshots_variant(spark, sf_dir):
+    """The new field survives without a schema and without a scan to infer one."""
+    return _variant_snapshots(spark, sf_dir).select(
+        "station_id",
+        "num_bikes_available",
+        snap.variant_field("num_scooters", "bigint").alias("num_scooters"),
+        "snapshot_at",
+    )
+
+
+@query
+def snapshots_field_kinds(spark, sf_dir):
+    """Fields of the feed that the snapshot schema does not name."""
+    known = SNAPSHOT.fieldNames()
+    return snap.field_kinds(_variant_snapshots(spark, sf_dir)).filter(~F.col("field").isin(known))
+
+
 @query
 def snapshots_ingest_batch(spark, sf_dir):
     """Documents flattened, landed by day, read back and staged."""

@@ -6,10 +6,13 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from stationflow.schemas import SNAPSHOT, SNAPSHOT_DOC, STATION_DOC
+from stationflow.schemas import SNAPSHOT, SNAPSHOT_DOC, SNAPSHOT_STATION, STATION_DOC
 
 PARTITION = "snapshot_date"
 
+# VARIANT columns: a whole document, and all fields of a station.
+DOC, FIELDS = "doc", "fields"
+
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
@@ -55,13 +58,34 @@ def read_snapshot_documents(
 ) -> DataFrame:
     """Nested snapshot documents, one per file or one per line.
 
-    ``schema=None`` infers the fields, so that those a feed adds are kept; the
-    default keeps the fields it names.
+    The default keeps the fields it names. ``schema=None`` infers them from a scan
+    of everything; ``read_variant_documents`` keeps them all without one.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.option("multiLine", one_per_file).option("recursiveFileLookup", True).json(path)
 
 
+def read_variant_documents(
+    spark: SparkSession, path: str, one_per_file: bool = True, corrupt_col: str | None = None
+) -> DataFrame:
+    """Documents as they are, one per file or one per line, in the VARIANT column ``doc``.
+
+    No schema is needed and none is inferred: every field is kept in one scan.
+    The ``doc`` of malformed text is NULL; ``corrupt_col`` keeps the text.
+    """
+    reader = spark.read.option("singleVariantColumn", DOC).option("multiLine", one_per_file)
+    reader = reader.option("recursiveFileLookup", True)
+    if not corrupt_col:
+        return reader.json(path)
+    # Beside a variant the reader knows this column by the session's name for it only.
+    text = spark.conf.get("spark.sql.columnNameOfCorruptRecord")
+    docs = reader.schema(
+        T.StructType([T.StructField(DOC, T.VariantType()), T.StructField(text, T.StringType())])
+    ).json(path)
+    # Through the one-row generator both columns are read, whatever a query goes on to use.
+    return docs.select(F.inline(F.array(F.struct(DOC, F.col(text).alias(corrupt_col)))))
+
+
 def read_station_documents(
     spark: SparkSession, path: str, schema: T.StructType | None = STATION_DOC
 ) -> DataFrame:
@@ -89,6 +113,50 @@ def flatten_snapshot(docs: DataFrame, captured_at: datetime | str | Column) -> D
     ).select("_station.*", "snapshot_at", "snapshot_epoch")
 
 
+def flatten_variant_snapshot(
+    docs: DataFrame,
+    captured_at: datetime | str | Column,
+    schema: T.StructType = SNAPSHOT_STATION,
+) -> DataFrame:
+    """``flatten_snapshot`` of the VARIANT column ``doc``: typed columns, and every field as VARIANT.
+
+    ``schema`` names the fields that become columns; a value that does not fit its
+    type is NULL there. ``fields`` holds the station as it came, so fields that a
+    feed adds, or sends in another type, are read from there (``variant_field``).
+    Documents without a list of stations give no rows.
+    """
+    taken = _timestamp(captured_at)
+    rows = docs.select(
+        F.explode(F.try_variant_get(F.col(DOC), "$.data.stations", "array<variant>")).alias(FIELDS),
+        F.date_format(taken, ISO_TIME).alias("snapshot_at"),
+        F.unix_timestamp(taken).alias("snapshot_epoch"),
+    )
+    typed = [variant_field(f.name, f.dataType.simpleString()).alias(f.name) for f in schema]
+    return rows.select(*typed, "snapshot_at", "snapshot_epoch", FIELDS)
+
+
+def variant_field(name: str, kind: str = "string", column: str = FIELDS) -> Column:
+    """Field ``name`` of a VARIANT column in the given type; NULL where it is missing or does not fit."""
+    if "'" in name:
+        raise ValueError(f"a path can't quote the name {name!r}")
+    return F.try_variant_get(F.col(column), f"$['{name}']", kind)
+
+
+def field_kinds(rows: DataFrame, column: str = FIELDS) -> DataFrame:
+    """Names and types of the fields that the objects of a VARIANT column hold, with the number of rows.
+
+    One aggregation over the rows; compared with a schema it shows what a feed has added or changed.
+    """
+    entries = rows.select(F.col(column).alias("_object")).lateralJoin(
+        rows.sparkSession.tvf.variant_explode(F.col("_object").outer())
+    )
+    return (
+        entries.filter(F.col("key").isNotNull())
+        .groupBy(F.col("key").alias("field"), F.schema_of_variant("value").alias("kind"))
+        .agg(F.count(F.lit(1)).alias("readings"))
+    )
+
+
 def flatten_station_info(docs: DataFrame, ingested_at: datetime | str | Column) -> DataFrame:
     """Typed station rows of a station document; missing fields become "" or 0."""
     defaults = (

@@ -50,7 +50,7 @@ def fit_types(text: DataFrame, schema: T.StructType, corrupt_col: str, line_col:
 
 def _read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType | None,
     corrupt_col: str | None,
     layout: TripLayout | None = None,
@@ -90,7 +90,8 @@ def read_trips_csv(
 
     Bad values become NULL; with ``corrupt_col`` the line of such a row is kept
     there (see ``split_corrupt``). ``layouts`` reads files of different
-    layouts into the columns of ``schema``; what a layout lacks is NULL.
+    layouts into the columns of ``schema``; what a layout lacks is NULL. Where
+    names don't tell the layouts apart, ``layouts.read_trips_by_header`` does.
     """
     if infer:
         return _read_csv(spark, path, None, None)
@@ -102,6 +103,11 @@ def read_trips_csv(
         )
         for layout in layouts
     ]
+    return _aligned(parts, schema, corrupt_col)
+
+
+def _aligned(parts: Sequence[DataFrame], schema: T.StructType, corrupt_col: str | None) -> DataFrame:
+    """All parts with the columns of ``schema``; what a part lacks is NULL."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     columns = [
         (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)

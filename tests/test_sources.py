@@ -1,3 +1,4 @@
+import gzip
 import io
 import random
 import re
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F, types as T
 from stationflow.operators import trips as trip_ops
 from stationflow.plans import mart as plans
 from stationflow.schemas import SNAPSHOT_DOC, STATION_DOC, TRIP_CLEAN, TRIP_RAW
-from stationflow.sources import archives, audit, listing, sinks, snapshots as snap, trips
+from stationflow.sources import archives, audit, layouts, listing, sinks, snapshots as snap, trips
 
 HEADER = ",".join(TRIP_RAW.fieldNames())
 GOOD = "r1,classic_bike,2024-01-01 10:00:00,2024-01-01 10:10:00,A,1.01,B,2.01,1.5,2.5,3.5,4.5,member"
@@ -76,6 +77,60 @@ def test_two_layouts(spark, csv_dir, tmp_path):
     assert (old.started_at, old.member_casual) == ("2013-01-01 00:00:00", None)
 
 
+KNOWN = [trips.TripLayout(TRIP_RAW), trips.TripLayout(OLD, OLD_NAMES)]
+
+
+def test_layouts_by_header(spark, tmp_path):
+    """One folder, no globs: two layouts, another order, more columns, gzip, odd names, unknown and empty files."""
+    old = "2013-01-01 00:00:00,2013-01-01 00:05:00"
+    texts = {
+        "a [1]{x}*.csv": f"{HEADER}\n{GOOD}\n{QUOTED}\n",
+        "b.csv": f"\ufeffstarttime,stoptime,bikeid\n{old},77\n",
+        "deep/er/c.csv": f"\n bikeid ,usertype,starttime,stoptime\n78,x,{old}\n79,y,{old}\n",
+        "unknown.csv": f"start,stop,bikeid\n{old},80\n",
+        "twice.csv": f"starttime,stoptime,bikeid,BIKEID\n{old},81,81\n",
+        "blank.csv": f"starttime,stoptime,bikeid,\n{old},82,\n",
+        "header_only.csv": "starttime,stoptime,bikeid\n",
+        "empty.csv": "\n",
+        "no_bytes.csv": "",
+        "not_csv.txt": f"{HEADER}\n{GOOD}\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as file:
+        file.write(f"{HEADER}\n{GOOD.replace('r1', 'r9')}\n")
+    df, files = layouts.read_trips_by_header(spark, str(tmp_path), KNOWN)
+    assert df.columns == TRIP_RAW.fieldNames()
+    assert [r.ride_id for r in df.orderBy("ride_id").collect()] == ["77", "78", "79", "r1", "r2", "r9"]
+    assert rows(df.filter("ride_id = '79'").select("started_at", "ended_at", "member_casual")) == [
+        ("2013-01-01 00:00:00", "2013-01-01 00:05:00", None)
+    ]
+    assert df.filter("ride_id = 'r1'").first().start_lat == 1.5
+    found = {r.path.rsplit("/", 1)[1]: (r.layout, r.left_out) for r in files.collect()}
+    assert found == {
+        "a [1]{x}*.csv": (0, []), "z.csv.gz": (0, []), "b.csv": (1, []), "header_only.csv": (1, []), "c.csv": (1, ["usertype"]),
+        "unknown.csv": (None, None), "twice.csv": (None, None), "blank.csv": (None, None), "empty.csv": (None, None),
+    }
+
+
+def test_layouts_by_header_keep_corrupt_lines(spark, csv_dir, tmp_path):
+    both = layouts.read_trips_by_header(spark, csv_dir, KNOWN, corrupt_col="_corrupt_record")[0]
+    plain = trips.read_trips_csv(spark, csv_dir, corrupt_col="_corrupt_record")
+    assert both.columns == plain.columns and rows(both) == rows(plain)
+    (tmp_path / "none").mkdir()
+    empty, files = layouts.read_trips_by_header(spark, str(tmp_path / "none"), KNOWN)
+    assert empty.count() == files.count() == 0 and empty.columns == TRIP_RAW.fieldNames()
+
+
+def test_a_header_that_changes_fails_the_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("starttime,stoptime,bikeid\na,b,c\n")
+    df, _ = layouts.read_trips_by_header(spark, str(tmp_path), KNOWN)
+    (tmp_path / "a.csv").write_text("stoptime,starttime,bikeid\na,b,c\n")
+    with pytest.raises(Exception, match="header"):
+        df.collect()
+
+
 def test_wrong_header_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text("stoptime,starttime,bikeid\na,b,c\n")
     with pytest.raises(Exception, match="header"):
@@ -252,6 +307,41 @@ def test_snapshot_documents(spark):
     assert set(SNAPSHOT_DOC["data"].dataType["stations"].dataType.elementType.fieldNames()) < set(flat.columns)
 
 
+def test_variant_documents(spark, tmp_path):
+    """Every field of every document, whatever its type, in one scan without a job before it."""
+    for name, text in {
+        "a": '{"data":{"stations":[\n{"station_id":"a","num_bikes_available":3,"new":{"x":[1]}},{"station_id":7,"new":"s"}]}}',
+        "b": '{"data":{"stations":[{"station_id":"b","num_bikes_available":"many","it\'s":1.5}, null, 5]}}',
+        "c": '{"data":{"stations":null}}', "d": '{"ttl":5}', "e": '{"data":{"stations":{"station_id":"no"}}}',
+        "f": '{"data":{"stations":[]}}', "g": '{"data":{"stations":[{"station_id":"cut',
+    }.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    spark.sparkContext.setJobGroup("variants", "none runs before the action")
+    docs = snap.read_variant_documents(spark, str(tmp_path), corrupt_col="_bad")
+    flat = snap.flatten_variant_snapshot(docs, datetime(2026, 6, 15, 14, 30))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("variants")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert flat.columns == [*snap.flatten_snapshot(document(spark, SNAPSHOT_DOC, "{}"), "2026-06-15").columns, "fields"]
+    assert rows(flat.select("station_id", "num_bikes_available")) == sorted(
+        [("a", 3), ("7", None), ("b", None), (None, None), (None, None)], key=repr
+    )
+    assert {r.snapshot_epoch for r in flat.collect()} == {1781533800}
+    new = flat.select("station_id", F.to_json("fields").alias("all"), snap.variant_field("new").alias("new"))
+    assert {r.station_id: r.new for r in new.filter("station_id is not null").collect()} == {"a": '{"x":[1]}', "7": "s", "b": None}
+    assert new.filter("station_id = 'b'").first()["all"] == '{"it\'s":1.5,"num_bikes_available":"many","station_id":"b"}'
+    kinds = {(r.field, r.kind): r.readings for r in snap.field_kinds(flat).collect()}
+    assert kinds[("new", "STRING")] == 1 and kinds[("new", "OBJECT<x: ARRAY<BIGINT>>")] == 1
+    assert kinds[("station_id", "STRING")] == 2 and kinds[("station_id", "BIGINT")] == 1
+    assert plan_of(flat).split("== Physical Plan ==")[1].count("FileScan json") == 1
+    assert [r["_bad"] for r in docs.filter("_bad is not null").collect()] == ['{"data":{"stations":[{"station_id":"cut']
+    with pytest.raises(ValueError):
+        snap.variant_field("it's")
+    kept = str(tmp_path / "kept")
+    sinks.append_snapshots(flat, kept, "parquet")
+    again = spark.read.parquet(kept)
+    assert rows(again.select(snap.variant_field("new"))) == rows(flat.select(snap.variant_field("new")))
+
+
 def test_station_documents(spark, tmp_path):
     (tmp_path / "info.json").write_text(
         '{"data":{"stations":[\n{"station_id":"a","name":"A","lat":40.5,"lon":"-74","capacity":12},\n{"region_id":7}]}}'
