@@ -423,7 +423,8 @@ oracle(
     """SELECT station_id, name, short_name, lat, lon, capacity, region_id FROM stations WHERE capacity > 0""",
     "stations",
 )
-oracle("mart_published", "SELECT * FROM mart", "mart")
+for _name in ("mart_published", "mart_interleaved"):
+    oracle(_name, "SELECT * FROM mart", "mart")
 oracle(
     "layer_tables",
     "SELECT * FROM (VALUES ('stations', 'MANAGED'), ('files', 'MANAGED')) t(table_name, table_type)",

@@ -467,6 +467,16 @@ def mart_published(spark, sf_dir):
     return sinks.publish(built, table, as_="table", cluster_by=["station_id", "hour_of_day"])
 
 
+@query
+def mart_interleaved(spark, sf_dir):
+    """The mart in Z-order, for filters on station, hour or weekday alike."""
+    table = sinks.qualified(_database(spark, "marts"), "gap")
+    columns = ["station_id", "hour_of_day", "start_day_of_week"]
+    return sinks.publish(
+        stored_mart(spark, sf_dir), table, as_="table", cluster_by=columns, interleave=True
+    )
+
+
 @query
 def layer_tables(spark, sf_dir):
     """Tables of a layer, among them none of a write under way."""

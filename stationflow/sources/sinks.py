@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from stationflow.sources.clustering import z_ordered
+
 # The three layers, each a database of its own.
 LAYERS = ("raw", "staging", "marts")
 
@@ -116,11 +118,14 @@ def publish(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     buckets: int | None = None,
+    interleave: bool = False,
 ) -> DataFrame:
     """Publish ``df`` as a temporary view (recomputed on read) or a stored table.
 
     ``cluster_by`` sorts the files, so that row groups of a column chunk can be
-    skipped; with ``buckets`` it also co-locates later joins on those columns.
+    skipped; with ``buckets`` it also co-locates later joins on those columns. Sorted by
+    the columns in turn, only filters on the first skip much; with ``interleave`` filters
+    on each of them do (``z_ordered``).
     A table is written beside an earlier one of its name, which stays readable
     until the new one is complete and takes the name over.
     """
@@ -133,7 +138,11 @@ def publish(
     if as_ != "table":
         raise ValueError(f"as_ must be 'view' or 'table', not {as_!r}")
     rows = df
-    if cluster_by and not buckets:
+    if interleave and (buckets or not cluster_by):
+        raise ValueError("interleave orders the files by cluster_by, without buckets")
+    if interleave:
+        rows = z_ordered(rows, cluster_by, partition_by=partition_by)
+    elif cluster_by and not buckets:
         # Range-partitioned, so each file covers a narrow span of the columns.
         rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(
             *partition_by, *cluster_by
