@@ -473,6 +473,13 @@ oracle(
         FROM ({_NEW_FIELD}) WHERE num_scooters IS NOT NULL HAVING count(*) > 0""",
     "snapshots",
 )
+oracle(
+    "snapshots_compacted",
+    """SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS readings, CAST(1 AS BIGINT) AS files,
+              CAST(sum(num_bikes_available) AS BIGINT) AS bikes
+       FROM snapshots GROUP BY CAST(ts AS DATE)""",
+    "snapshots",
+)
 _STAGED = """ts AS snapshot_at, CAST(hour(ts) AS INTEGER) AS snapshot_hour,
        CAST(ts AS DATE) AS snapshot_date, {station} AS station_id, num_bikes_available,
        num_ebikes_available, num_docks_available, num_bikes_disabled,

@@ -29,6 +29,7 @@ from stationflow.session import CHECKPOINT_DIR, materialise, scratch_path
 from stationflow.sources import (
     archives,
     audit,
+    compaction,
     layouts,
     listing,
     sinks,
@@ -397,6 +398,25 @@ def snapshots_field_kinds(spark, sf_dir):
     return snap.field_kinds(_variant_snapshots(spark, sf_dir)).filter(~F.col("field").isin(known))
 
 
+@query
+def snapshots_compacted(spark, sf_dir):
+    """Readings of polls in several files a date, packed: readings and files per date afterwards."""
+    table = sinks.qualified(_database(spark, "raw"), "readings")
+    rows = fx.snapshots(spark, sf_dir)
+    dated = rows.withColumn(snap.PARTITION, F.to_date(F.col("snapshot_at").cast("timestamp")))
+    sinks.publish(dated.repartition(4), table, as_="table", partition_by=[snap.PARTITION])
+    compaction.compact_partitions(spark, table)
+    return (
+        spark.table(table)
+        .groupBy(snap.PARTITION)
+        .agg(
+            F.count(F.lit(1)).alias("readings"),
+            F.count_distinct("_metadata.file_path").alias("files"),
+            F.sum("num_bikes_available").alias("bikes"),
+        )
+    )
+
+
 @query
 def snapshots_ingest_batch(spark, sf_dir):
     """Documents flattened, landed by day, read back and staged."""

@@ -85,7 +85,7 @@ def match_layouts(headers: DataFrame, layouts: Sequence[TripLayout]) -> DataFram
     )
 
 
-def _literal(path: str) -> str:
+def literal_path(path: str) -> str:
     """A path in which nothing is a glob."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
@@ -123,7 +123,7 @@ def read_trips_by_header(
             [T.StructField(name, kinds.get(name.strip(" "), T.StringType())) for name in group.header]
         )
         rows = _read_csv(
-            spark, [_literal(p) for p in group.paths], as_found, corrupt_col, TripLayout(as_found)
+            spark, [literal_path(p) for p in group.paths], as_found, corrupt_col, TripLayout(as_found)
         )
         taken = [name for name in group.header if name.strip(" ") in kinds]
         parts.append(
