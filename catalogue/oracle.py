@@ -406,6 +406,15 @@ oracle(
     "stg_stations",
 )
 oracle("demand_incremental", "SELECT * FROM demand", "demand")
+oracle(
+    "distinct_rolling",
+    """SELECT e.year, e.month, count(*) AS rows, count(DISTINCT c.start_station_id) AS stations,
+              count(DISTINCT c.ride_id) AS rides, true AS stations_near, true AS rides_near
+       FROM (SELECT DISTINCT year, month FROM clean) e
+       JOIN clean c ON e.year * 12 + e.month - c.year * 12 - c.month BETWEEN 0 AND 2
+       GROUP BY e.year, e.month""",
+    "clean",
+)
 oracle(
     "trips_archive_results",
     """SELECT count(*) AS rows, CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS errors

@@ -16,6 +16,7 @@ from stationflow.operators import (
     availability,
     demand,
     demand_states,
+    distinct_states,
     gap,
     quality,
     ranking,
@@ -561,6 +562,34 @@ def demand_incremental(spark, sf_dir):
     return demand_states.merge_states(demand_states.read_states(spark, states))
 
 
+@query
+def distinct_rolling(spark, sf_dir):
+    """Stations and trips of each quarter-long run of months, from stored sketches, next to the exact counts."""
+    path, columns = scratch_path(spark, "sketches"), ["start_station_id", "ride_id"]
+    rows = stored(spark, sf_dir, "clean", lambda: clean(spark, sf_dir))
+    distinct_states.refresh_sketches(rows, path, columns)
+    rolling = distinct_states.rolling_distinct(spark.read.parquet(path), columns)
+    exact = (
+        distinct_states.rolling_months(rows, 3)
+        .groupBy("year", "month")
+        .agg(*(F.count_distinct(name).alias(f"{name}_exact") for name in columns))
+    )
+    error = 5 * distinct_states.relative_error()
+
+    def near(name):
+        return F.abs(F.col(name) - F.col(f"{name}_exact")) <= error * F.col(f"{name}_exact")
+
+    return rolling.join(exact, ["year", "month"]).select(
+        "year",
+        "month",
+        "rows",
+        F.col("start_station_id_exact").alias("stations"),
+        F.col("ride_id_exact").alias("rides"),
+        near("start_station_id").alias("stations_near"),
+        near("ride_id").alias("rides_near"),
+    )
+
+
 # File listing --------------------------------------------------------------
 
 

@@ -77,7 +77,11 @@ def refresh_states(trips: DataFrame, path: str, months: Months | None = None, bu
     """
     if months is not None and not months:
         return
-    states = month_states(trips if months is None else of_months(trips, months), bucket)
+    replace_months(month_states(trips if months is None else of_months(trips, months), bucket), trips, path, months)
+
+
+def replace_months(states: DataFrame, trips: DataFrame, path: str, months: Months | None) -> None:
+    """Write ``states`` of ``months`` of ``trips`` in place of those months' earlier ones (of all, if None)."""
     mode = "static" if months is None else "dynamic"
     writer = states.hint("rebalance", *MONTH).write.partitionBy(*MONTH).mode("overwrite")
     writer.option("partitionOverwriteMode", mode).parquet(path)
