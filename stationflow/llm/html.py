@@ -31,12 +31,19 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-#: Elements that never hold main text.
+#: Elements that never hold main text, controls of forms among them.
 DROPPED = frozenset(
     "script style noscript template svg math canvas iframe object embed audio video map textarea title head"
-    " nav aside footer form button select input dialog menu noembed noframes".split()
+    " button select input label legend datalist output meter progress noembed noframes".split()
 )
-#: Words of class, id or role that mark what stands around the main text.
+#: Elements that mark what stands around the main text, unless a page stands in one.
+AROUND = frozenset("nav aside footer form dialog menu".split())
+#: Of these and of the marks, those that no wrapper of a page bears: menus, reader comments, requests for consent.
+CERTAIN = frozenset(
+    "nav menu dialog navbar navigation menubar breadcrumb breadcrumbs pagination pager comment comments commentlist disqus respond"
+    " reply replies cookie cookies consent gdpr popup modal".split()
+)
+#: Words of class, id or role that do the same.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner popup modal overlay"
     " cookie cookies consent gdpr notice notices alert disclaimer paywall subscribe subscription newsletter signup login"
@@ -47,6 +54,11 @@ MARKS = frozenset(
 #: With one of these in the same name, a mark tells of the layout ("no-sidebar") or of a part of the article ("entry-header").
 UNMARKS = frozenset("has with no without layout".split())
 ARTICLE_PARTS = frozenset("article entry post story content title".split())
+#: Marks that name a section; on a paragraph or heading they tell what it is about.
+SECTION_MARKS = frozenset("comments commentlist respond responses replies discussion search privacy sidebar".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6".split())
+#: A block with so many words outside links reads like main text.
+READABLE = 20
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?", re.S)
 _ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -55,43 +67,53 @@ _SLICE = 64
 
 
 class Node:
-    """An element: its children are nodes and texts in page order."""
+    """An element: its children are nodes and texts in page order.
+
+    `dropped`: it and all below it are no main text; `marks`: names that make it so, unless `settle` finds that the page stands in it.
+    """
 
-    __slots__ = ("name", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total", "best", "blocks")
+    __slots__ = (
+        "name", "children", "dropped", "marks", "plain", "long", "reads", "chars", "tags", "link_chars", "link_tags", "density", "total", "best", "blocks", "lines",
+    )
 
-    def __init__(self, name: str, dropped: bool):
-        self.name, self.dropped, self.children = name, dropped, []
+    def __init__(self, name: str, dropped: bool = False, marks: frozenset[str] = frozenset()):
+        self.name, self.dropped, self.marks, self.children = name, dropped, marks, []
+        self.plain, self.long, self.reads = 0, 0, False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
-        self.best, self.blocks = self, False
+        self.best, self.blocks, self.lines = self, False, True
 
 
-def _marked(name: str, attributes: str, inside_article: bool) -> bool:
-    """Whether an element and all below it stand around the main text."""
-    if name in DROPPED or name == "header" and not inside_article:
-        return True
+def _marks(name: str, attributes: str, inside_article: bool) -> tuple[bool, frozenset[str]]:
+    """Whether an element never holds main text, and what marks it as standing around it."""
+    if name in DROPPED:
+        return True, frozenset()
+    marks = {name} if name in AROUND or name == "header" and not inside_article else set()
     if name in ("html", "body") or not attributes:
-        return False
+        return False, frozenset(marks)
     for key, value in _ATTR.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
-            return True
-        if key in ("class", "id", "role") and any(_names_a_mark(n, inside_article) for n in value.split()):
-            return True
-    return False
+            return True, frozenset()
+        if key in ("class", "id", "role"):
+            for words in value.split():
+                marks |= _marks_in(words, name, inside_article)
+    return False, frozenset(marks)
 
 
-def _names_a_mark(name: str, inside_article: bool) -> bool:
-    words = {w.lower() for w in _WORDS.findall(name)}
+def _marks_in(value: str, name: str, inside_article: bool) -> set[str]:
+    words = {w.lower() for w in _WORDS.findall(value)}
     found = words & MARKS
     if "header" in found and (inside_article or words & ARTICLE_PARTS):
         found = found - {"header"}
-    return bool(found) and not words & UNMARKS
+    if name in PARAGRAPHS and inside_article:
+        found = found - SECTION_MARKS
+    return set() if words & UNMARKS else found
 
 
 def parse(page: str) -> Node:
     """The element tree of a page, whatever is missing or wrongly nested in it."""
-    root = Node("#root", False)
+    root = Node("#root")
     stack, articles, at, end = [root], 0, 0, len(page)
     open_ = Counter()  # names on the stack, so that a search for one that isn't there ends at once
 
@@ -128,9 +150,9 @@ def parse(page: str) -> Node:
         name = name.lower()
         if closing:
             if name == "p" and not open_["p"]:
-                stack[-1].children.append(Node("p", False))
+                stack[-1].children.append(Node("p"))
             elif name == "br":
-                stack[-1].children.append(Node("br", False))
+                stack[-1].children.append(Node("br"))
             else:
                 close({name}, {"table"} if name not in BLOCK else {"td", "th"} if name == "p" else frozenset())
             continue
@@ -142,7 +164,7 @@ def parse(page: str) -> Node:
             continue
         if name == "body":
             close({"head"}, frozenset())
-        node = Node(name, stack[-1].dropped or _marked(name, attributes, articles > 0))
+        node = Node(name, *_marks(name, attributes, articles > 0))
         stack[-1].children.append(node)
         if name in VOID or attributes.endswith("/") and name in ("svg", "path"):
             continue
@@ -171,6 +193,45 @@ def _in_order(root: Node) -> list[Node]:
     return order
 
 
+def settle(root: Node) -> Node:
+    """Drop the marked elements of a page, but for those that the page stands in.
+
+    Marks are names, and names mislead: a form or a "sidebar-right" may wrap a page, an article may be "comments-open". So one that holds more
+    than half of the page's characters outside links stays if it is an article or a main, or has an unmarked one in it. A form, or
+    an element with no `CERTAIN` mark, stays also if it has two blocks that read like main text (`READABLE` words outside links),
+    a form whatever stands beside it, others if no unmarked block outside reads so. Long comments beside a
+    short article go, therefore. What is marked within an element that stays is judged by the same rule.
+    """
+    order = _in_order(root)
+    articles: set[int] = set()
+    own: dict[int, int] = {}  # words outside links and outside the blocks in a node
+    for node in reversed(order):
+        below, texts = _kept(node), [c for c in node.children if isinstance(c, str)]
+        if node.name == "a":
+            own[id(node)] = 0
+        else:
+            own[id(node)] = sum(len(c.split()) for c in texts) + sum(own[id(c)] for c in below if c.name not in BLOCK)
+            node.plain = sum(len("".join(c.split())) for c in texts) + sum(c.plain for c in below)
+        readable = node.name in BLOCK and own[id(node)] >= READABLE
+        node.long = readable + sum(c.long for c in below)
+        node.reads = not node.marks and (readable or any(c.reads for c in below))
+        if not node.marks and (node.name in ("article", "main") or any(id(c) in articles for c in below)):
+            articles.add(id(node))
+    around, reads = root, False
+    while inner := next((c for c in _kept(around) if 2 * c.plain > root.plain), None):
+        reads = reads or own[id(around)] >= READABLE or any(c.reads for c in _kept(around) if c is not inner)
+        if inner.marks:
+            article = inner.name in ("article", "main") or any(id(c) in articles for c in _kept(inner))
+            wraps = inner.long >= 2 and (inner.name == "form" or not reads) and not inner.marks & CERTAIN
+            if not article and not wraps:
+                break
+            inner.marks = frozenset()
+        around = inner
+    for node in order:
+        node.dropped = node.dropped or bool(node.marks)
+    return root
+
+
 def weigh(root: Node) -> list[Node]:
     """Fill in characters, tags, links, composite text density and the sum of child densities of every node."""
     order = _in_order(root)
@@ -194,7 +255,8 @@ def _add_up(node: Node, ratio: float) -> None:
     """The sum of child densities of `node`, and the node with the greatest sum below it; children come first.
 
     Children are blocks, and runs of text and inline elements between them. An inline element with blocks
-    in it stands for these; inline elements are no content of their own. Of equal sums, an article or main comes first.
+    in it stands for these; inline elements are no content of their own. A block of nothing but lines counts for no less than its lines do, so
+    that one paragraph with line breaks does not outweigh the text it is part of. Of equal sums, an article or main comes first.
     """
     total, chars, tags = 0.0, 0, 0
     for child in [*node.children, None]:
@@ -204,8 +266,9 @@ def _add_up(node: Node, ratio: float) -> None:
             total += _density(chars, tags, 0, 0, ratio)
             chars = tags = 0
             if child is not None:
-                total += child.density if child.name in BLOCK else child.total
+                total += child.total if child.name not in BLOCK else max(child.density, child.total) if child.lines else child.density
                 node.blocks = True
+                node.lines = node.lines and child.lines and (child.name == "br" or child.name not in BLOCK)
         elif not child.dropped:
             chars += child.chars - child.link_chars
             tags += 1 + child.tags - child.link_tags - (child.name == "a")
@@ -292,7 +355,7 @@ def extract(page: str | None) -> str:
     """Main text of a page; empty for null, for an empty page and for one without text."""
     if not page:
         return ""
-    root = parse(page)
+    root = settle(parse(page))
     nodes = main_nodes(root)
     place = {id(n): i for i, n in enumerate(_in_order(root))}
     return " ".join(t for n in sorted(nodes, key=lambda n: place[id(n)]) if (t := text_of(n)))

@@ -240,6 +240,65 @@ def test_density_decides_in_main():
     assert TEXT in found and "bcdefgh" not in found
 
 
+LONG = "<p>" + "One two, three &amp; four five six; " * 9 + "</p>"
+LONG_TEXT = " ".join([TEXT] * 9)
+WRAPPED = {
+    "form around the page": '<form id="aspnetForm">{}<input name=q><label>Name</label><button>Send</button></form>',
+    "layout by name": '<div class="sidebar-right">{}</div>',
+    "article open for comments": '<article class="post comments-open">{}</article>',
+    "free of adverts": '<div class="content ad-free">{}</div>',
+    "a topic in an id": '<article id="privacy-law-ruling">{}</article>',
+    "marks within marks": '<form><div class="sidebar-right"><div class="nav"><a href=/>Home</a></div><div class="content ad-free">{}</div></div></form>',
+    "a wrapped article": '<div class="menu-page"><article>{}</article><div class="comments">' + LONG + "</div></div>",
+    "a teaser beside": '<article class="post comments-open">{}</article><article><p>' + WORDS * 4 + "</p></article>",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_marks_on_what_holds_the_page(name):
+    """No mark takes away what holds most of the text outside links."""
+    page = "<html><body><div class=top><a href=/>Home</a> Daily</div>" + WRAPPED[name].format(LONG + LONG) + "<footer>All rights</footer></body></html>"
+    found = html.extract(page)
+    assert found.startswith(f"{LONG_TEXT} {LONG_TEXT}") and "rights" not in found and "Send" not in found and "Name" not in found
+    assert name == "a teaser beside" or found == f"{LONG_TEXT} {LONG_TEXT}"
+
+
+def test_topic_of_a_paragraph():
+    """A paragraph of an article may be called a discussion; a section of that name is one of readers."""
+    found = html.extract(f'<article>{LONG}<p class="discussion">Both views are held</p><section class="discussion"><p>Me too</p></section></article>')
+    assert found == f"{LONG_TEXT} Both views are held"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="cookie-notice">' + LONG + LONG + "</div>",
+        '<div class="banner">' + LONG + "</div>",
+        '<div id="comments">' + LONG * 5 + "</div>",
+        "<nav>" + LONG * 2 + "</nav>",
+        "<form>" + LONG + "<input></form>",
+    ],
+)
+def test_pages_of_nothing_but_marks(page):
+    assert html.extract(f"<html><body><h1>T</h1>{page}</body></html>") in ("", "T")
+
+
+def test_long_comments_beside_a_short_article():
+    found = html.extract(f'<html><body><div class=text>{LONG}</div><div class="reader-responses">{LONG * 20}</div></body></html>')
+    assert found == LONG_TEXT
+
+
+def test_paragraph_of_lines():
+    """Line breaks do not make one paragraph outweigh the text it is part of."""
+    found = html.extract("<html><body><div><h1>A heading</h1><p><b>First line of text<br>second line of text</b></p><p>A short end</p></div></body></html>")
+    assert found == "A heading First line of text second line of text A short end"
+
+
+def test_many_marks_in_each_other():
+    page = '<div class="sidebar">' * 20_000 + LONG + LONG
+    assert html.extract(page) == f"{LONG_TEXT} {LONG_TEXT}"
+
+
 def test_two_containers():
     """Both of two containers of paragraphs, though one has the greater sum; not the links between them."""
     first, second = PARAGRAPHS.replace("One", "First"), PARAGRAPHS + PARAGRAPHS
