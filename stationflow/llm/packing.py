@@ -40,10 +40,11 @@ class Packer:
     def _piece(self, seq: int, at: int, item: tuple, n: int) -> tuple:
         """The first `n` ids of `item` at `at` in sequence `seq`; the row carries the item's own place."""
         doc_id, start, length, total, ids = item
-        return self.level, self.part, seq, at, doc_id, start, n, total, ids[: 4 * n]
+        return self.level, self.part, seq, at, doc_id, start, n, total, bytes(ids[: 4 * n])
 
     @staticmethod
     def _rest(item: tuple, n: int) -> tuple:
+        """What follows the first `n` ids; ids are a view, so nothing is copied, however often a long document is cut."""
         doc_id, start, length, total, ids = item
         return doc_id, start + n, length - n, total, ids[4 * n :]
 
@@ -60,6 +61,7 @@ class Packer:
 
     def add(self, item: tuple) -> None:
         """Place `(doc_id, start, length, doc_tokens, ids)`."""
+        item = (*item[:4], memoryview(item[4]))
         while item[2]:
             length = item[2]
             if length >= self.capacity:
@@ -86,7 +88,7 @@ class Packer:
 
     def finish(self) -> None:
         """Merge what the windows hold: full sequences, then one of each power of two that the rest is made of."""
-        items = [p[4:] for seq in sorted(self.open) for p in self.open[seq]]
+        items = [(*p[4:8], memoryview(p[8])) for seq in sorted(self.open) for p in self.open[seq]]
         self.open, self.gaps = {}, []
         left = sum(i[2] for i in items)
         seq, at, size = None, 0, 0
