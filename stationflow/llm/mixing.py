@@ -18,6 +18,22 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _sums_before(df: DataFrame, order: list[Column], values: dict[str, Column]) -> DataFrame:
+    """`df` with the sum of each of `values` over all rows before a row in `order`, which has to be total.
+
+    Rows are dealt to buckets by range; a window covers one bucket, and the sums of earlier buckets come by a broadcast
+    of one row per shuffle partition. Sums of whole numbers are exact, wherever the buckets begin.
+    """
+    placed = stored(df.repartitionByRange(*order).withColumn("bucket", F.spark_partition_id()), "placed")
+    sums = placed.groupBy("bucket").agg(*(F.sum(v).alias(n) for n, v in values.items()))
+    earlier = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select(F.col("bucket").alias("b"), *(F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_start") for n in values))
+    local = W.partitionBy("bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    inside = placed.select("*", *(F.coalesce(F.sum(v).over(local), F.lit(0)).alias(f"{n}_local") for n, v in values.items()))
+    joined = inside.join(F.broadcast(starts), inside["bucket"] == starts["b"])
+    return joined.select(*df.columns, *((F.col(f"{n}_local") + F.col(f"{n}_start")).alias(n) for n in values))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """Per source (`source`, `source_size`): its `weight` and `target`.
 
@@ -25,24 +41,27 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     share the sum of all sizes by weight; none exceeds `most` times its source's
     size, and what is cut off goes to the others by weight. Sources that reach
     their limit come first in order of limit / weight, so the common factor of the
-    rest follows from running sums. One row per source meets in one task.
+    rest follows from sums over the sources before each. Sources may be many: no task meets all of them, and the driver
+    sees the factor alone.
     """
-    order = W.orderBy(F.asc_nulls_last("source"))
-    turn = (F.row_number().over(order) - 1) % len(weights)
+    by_name = F.asc_nulls_last("source")
+    turn = F.col("turn") % len(weights)
     limit = (most * F.col("source_size")).cast("double")
-    ranked = sizes.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), turn + 1).cast("double")).select(
-        "*", limit.alias("limit"), (limit / F.col("weight")).alias("ratio")
+    weighed = _sums_before(sizes.select("source", "source_size"), [by_name], {"turn": F.lit(1)}).withColumn(
+        "weight", F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int")).cast("double")
+    )
+    ranked = weighed.drop("turn").withColumns({"limit": limit, "ratio": limit / F.col("weight")})
+    summed = stored(
+        _sums_before(ranked, [F.asc("ratio"), by_name], {"limits": F.col("limit"), "weights": F.col("weight")}), "ranked-sources"
     )
-    by_ratio = W.orderBy("ratio", F.asc_nulls_last("source"))
-    before = by_ratio.rowsBetween(W.unboundedPreceding, -1)
-    everything = W.partitionBy(F.lit(0))
-    free = F.sum("source_size").over(everything) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))
-    share = F.sum("weight").over(by_ratio.rowsBetween(W.currentRow, W.unboundedFollowing))
-    factors = ranked.withColumn("factor", free / share)
+    everything = summed.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weight")).first()
+    factor = (F.lit(everything["words"]) - F.col("limits")) / (F.lit(everything["weight"]) - F.col("weights"))
     # the first source below its limit fixes the factor; sources before it are at their limits
-    factor = F.min(F.when(F.col("factor") <= F.col("ratio"), F.struct("ratio", "source", "factor"))).over(everything)
-    target = F.least(F.col("limit"), F.col("weight") * factor["factor"])
-    return factors.select("source", "source_size", "weight", target.alias("target"))
+    place = F.struct("ratio", F.col("source").isNull().alias("none"), "source", factor.alias("factor"))
+    found = summed.agg(F.min(F.when(factor <= F.col("ratio"), place)).alias("at")).first()["at"]
+    common = F.lit(found["factor"] if found else None).cast("double")
+    target = F.least(F.col("limit"), F.col("weight") * common)
+    return summed.select("source", "source_size", "weight", target.alias("target"))
 
 
 def _digit(i: int) -> Column:

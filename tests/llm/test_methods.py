@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from compare import connect, differences
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -167,6 +168,16 @@ def test_packer_keeps_its_windows():
     assert [(p[4], p[5], p[6]) for p in packer.closed()] == [(0, 0, 6), (4, 0, 4), (3, 0, 5), (4, 4, 5)]
 
 
+def test_packer_cuts_a_long_document():
+    """A document of many sequences is cut without copying what is left of it."""
+    packer = packing.Packer(0, 0, 16, 2)
+    raw = np.arange(3_000_005, dtype="<u4").tobytes()
+    packer.add((1, 0, 3_000_005, 3_000_005, raw))
+    packer.finish()
+    pieces = sorted(packer.closed(), key=lambda p: p[5])
+    assert b"".join(p[8] for p in pieces) == raw and all(isinstance(p[8], bytes) for p in pieces)
+
+
 # near-duplicates
 
 
@@ -373,6 +384,27 @@ def test_targets(spark, sizes):
         assert r["target"] == pytest.approx(target[r["source"]], abs=1e-6)
 
 
+def test_targets_of_many_sources_do_not_depend_on_buckets(spark):
+    """Sources over several buckets, with equal sizes and a null among them, get the targets of one bucket."""
+    rows = [(None if i == 7 else f"s{i:04}", 100 if i % 2 else i) for i in range(600)]
+    sizes = spark.createDataFrame(rows, "source string, source_size long")
+    got = [sorted(mixing.source_targets(sizes).collect(), key=str)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        placed = mixing._sums_before(sizes, [F.asc_nulls_last("source")], {"before": F.col("source_size")})
+        seen = {r["source"]: r["before"] for r in placed.collect()}
+        got.append(sorted(mixing.source_targets(sizes.repartition(5)).collect(), key=str))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[0] == got[1] and len(got[0]) == 600
+    total = 0
+    for source, size in sorted(rows, key=lambda r: (r[0] is None, r[0] or "")):
+        assert seen[source] == total
+        total += size
+    assert sum(r["target"] for r in got[0]) == pytest.approx(total)
+    assert all(r["target"] <= 3 * r["source_size"] for r in got[0])
+
+
 def test_mix_comes_near_its_targets(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     first, again = (sorted(map(tuple, mixing.mix_report(d).collect())) for d in (docs, docs.repartition(7)))
