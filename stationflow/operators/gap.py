@@ -23,8 +23,6 @@ MART_TIES = (
     "supply_station_id",
 )
 
-_ROW = "_row"
-
 NameKey = Callable[[Column], Column]
 
 
@@ -109,23 +107,18 @@ def with_peak_flag(df: DataFrame) -> DataFrame:
 def rank_gaps(scored: DataFrame, bands: Sequence[float] = SEVERITY_BANDS) -> DataFrame:
     """Add the three ranks, the peak flag and the severity.
 
-    The scored rows are stored once. Only their keys and scores are placed in
-    order and ranked; the ranks come back to the stored rows by one join. A
-    station has a few hundred rows at most (its names times the hours of a
-    week), so its rank is a plain window.
+    A station has a few hundred rows at most (its names times the hours of a
+    week), so its rank is a plain window, which needs no shuffle when the rows come by
+    station. These rows are stored, as placing them reads them twice; both other ranks follow
+    from the places and small tables of counts, without moving the rows again.
     """
-    rows = materialise(scored.withColumn(_ROW, F.monotonically_increasing_id()), "scored")
-    placed = place_in_order(rows.select(_ROW, *MART_TIES, "supply_gap_score"), gap_order())
     by_station = Window.partitionBy("station_id").orderBy(*gap_order())
     in_station = F.row_number().over(by_station).cast("long")
-    ranks = (
+    ranked = scored.withColumn("worst_hour_rank_for_station", in_station)
+    placed = place_in_order(materialise(ranked, "scored"), gap_order(), "hour_of_day")
+    return (
         number_rows(placed, "overall_gap_rank")
         .transform(number_rows_within, placed, "hour_of_day", "gap_rank_within_hour")
-        .withColumn("worst_hour_rank_for_station", in_station)
-        .select(_ROW, "overall_gap_rank", "gap_rank_within_hour", "worst_hour_rank_for_station")
-    )
-    return (
-        rows.join(ranks, _ROW)
         .transform(with_peak_flag)
         .withColumn("gap_severity", gap_severity(F.col("supply_gap_score"), bands))
         .select(

@@ -15,32 +15,39 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.session import materialise
 
-BUCKET, POSITION = "_bucket", "_position"
+BUCKET, POSITION, IN_GROUP = "_bucket", "_position", "_in_group"
+
+_PART_BITS = 33
 
 Order = Sequence[Column | str]
 
 
-def place_in_order(df: DataFrame, order: Order) -> DataFrame:
+def _place() -> Column:
+    """The place of a row in its task."""
+    # The id Spark assigns here is the partition number above 33 bits of row number.
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _PART_BITS) - 1))
+
+
+def _keys(by: str | Sequence[str]) -> list[str]:
+    return [by] if isinstance(by, str) else list(by)
+
+
+def place_in_order(df: DataFrame, order: Order, by: str | Sequence[str] | None = None) -> DataFrame:
     """Sort ``df`` across buckets; add each row's bucket and position within it.
 
-    The placed rows are written to the shared folder: bucket and position must
-    be the same every time they are read, also after an executor is lost.
-    ``order`` has to be total for ranks to be reproducible.
+    With ``by`` a row also learns its place in the bucket sorted by group, from which
+    ``number_rows_within`` follows without another shuffle. The placed rows are written to
+    the shared folder: bucket and position must be the same every time they are read, also
+    after an executor is lost. ``order`` has to be total for ranks to be reproducible.
     """
-    # The id Spark assigns here is the partition number above 33 bits of row number.
-    row_id = F.monotonically_increasing_id()
+    part = F.shiftright(F.monotonically_increasing_id(), _PART_BITS).cast("int")
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_row_id", row_id)
-        .withColumns(
-            {
-                BUCKET: F.shiftright("_row_id", 33).cast("int"),
-                POSITION: F.col("_row_id").bitwiseAND(F.lit((1 << 33) - 1)),
-            }
-        )
-        .drop("_row_id")
+        .withColumns({BUCKET: part, POSITION: _place()})
     )
+    if by is not None:
+        placed = placed.sortWithinPartitions(*_keys(by), POSITION).withColumn(IN_GROUP, _place())
     return materialise(placed, "placed")
 
 
@@ -62,31 +69,30 @@ def number_rows(placed: DataFrame, name: str) -> DataFrame:
 def number_rows_within(
     df: DataFrame, placed: DataFrame, by: str | Sequence[str], name: str
 ) -> DataFrame:
-    """Row number within each value of ``by``, for ``df`` derived from ``placed``.
+    """Row number within each value of ``by``, for ``df`` derived from ``placed``, which was placed with this ``by``.
 
-    A window covers the rows of one group in one bucket, so its size is bounded
-    by a bucket whatever the group holds. The join brings the number of rows
-    the group has in earlier buckets and reuses the window's partitioning.
+    A group's rows lie together in each bucket, so a row's rank follows from its place, the first
+    place of its group in the bucket and the number of rows the group has in earlier buckets. These are
+    stored, one row per group and bucket, so that Spark knows their size before it plans the join
+    and rows are not shuffled for a few groups.
     """
-    keys = [by] if isinstance(by, str) else list(by)
     # As a struct, a NULL key is a group of its own, in the window and in the join.
-    group = F.struct(*keys)
+    group = F.struct(*_keys(by))
     sizes = (
-        placed.select(group.alias("_group"), BUCKET)
+        placed.select(group.alias("_group"), BUCKET, IN_GROUP)
         .groupBy("_group", BUCKET)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(IN_GROUP).alias("_first"))
     )
     before = F.sum("_rows").over(
         Window.partitionBy("_group").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = sizes.select("_group", BUCKET, F.coalesce(before, F.lit(0)).alias("_before"))
-    local = F.row_number().over(Window.partitionBy("_group", BUCKET).orderBy(POSITION))
+    skipped = F.coalesce(before, F.lit(0)) - F.col("_first") + 1
+    starts = materialise(sizes.select("_group", BUCKET, skipped.alias("_skipped")), "starts")
     return (
         df.withColumn("_group", group)
-        .withColumn("_local", local)
         .join(starts, ["_group", BUCKET])
-        .withColumn(name, F.col("_before") + F.col("_local"))
-        .drop("_group", "_local", "_before")
+        .withColumn(name, F.col(IN_GROUP) + F.col("_skipped"))
+        .drop("_group", "_skipped")
     )
 
 
@@ -99,5 +105,5 @@ def rank_in(
     df: DataFrame, by: str | Sequence[str], order: Order, name: str = "rank"
 ) -> DataFrame:
     """``row_number`` within ``by`` in ``order``; groups of any size."""
-    placed = place_in_order(df, order)
+    placed = place_in_order(df, order, by)
     return number_rows_within(placed, placed, by, name).select(*df.columns, name)

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from stationflow.functions.labels import SEVERITY_BANDS
 from stationflow.operators.availability import hourly_availability_from, station_availability
-from stationflow.operators.demand import hourly_demand
+from stationflow.operators.demand import hourly_demand_one_pass
 from stationflow.operators.gap import rank_gaps, score_gaps, worst_gaps
 from stationflow.operators.staging import stage_snapshots, stage_stations, stage_trips
 from stationflow.operators.trips import enrich_trips
+from stationflow.session import materialise
 from stationflow.sources.audit import with_row_audit
 from stationflow.sources.sinks import write_trips
 from stationflow.sources.trips import read_trips, read_trips_csv
@@ -41,7 +42,7 @@ class MartOptions:
 def demand(trips: DataFrame, options: MartOptions = MartOptions()) -> DataFrame:
     """Hourly demand of clean trips."""
     staged = stage_trips(trips, options.min_minutes, options.max_minutes)
-    return hourly_demand(staged, options.bucket)
+    return hourly_demand_one_pass(staged, options.bucket)
 
 
 def supply(
@@ -62,10 +63,14 @@ def scored_gaps(
     stations: DataFrame,
     options: MartOptions = MartOptions(),
 ) -> DataFrame:
-    """The mart's rows before ranking."""
+    """The mart's rows before ranking.
+
+    The supply, a row per station name, is stored first: Spark then knows its size before the join is
+    planned and does not shuffle the demand for a small one.
+    """
     return score_gaps(
         demand(trips, options),
-        supply(snapshots, stations, options),
+        materialise(supply(snapshots, stations, options), "supply"),
         options.clamp,
         options.by_hour,
     )

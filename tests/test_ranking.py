@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import plan_of
 from pyspark.sql import Window, functions as F
@@ -71,6 +73,23 @@ def test_no_single_task_over_rows(spark, skewed):
     assert "SinglePartition" not in plan_of(ranked).split("== Physical Plan ==")[1]
 
 
+def test_ranks_in_few_groups_move_no_rows(spark, skewed):
+    """Once placed, only counts per bucket and group are shuffled, not the rows."""
+    placed = ranking.place_in_order(skewed, order(), "kind")
+    ranked = ranking.number_rows_within(placed, placed, "kind", "n")
+    assert "Exchange hashpartitioning" not in plan_of(ranked).split("== Physical Plan ==")[1]
+    assert mismatches(ranked, "n", Window.partitionBy("kind").orderBy(*order())) == 0
+
+
+def test_mart_is_placed_rows_and_counts(spark, sf):
+    """The mart reads its placed rows once, without a join that shuffles them."""
+    from catalogue import queries as q
+
+    physical = plan_of(q.build_mart(spark, sf)).split("== Physical Plan ==")[1]
+    assert "SortMergeJoin" not in physical and "Window [row_number" not in physical
+    assert set(re.findall(r"hashpartitioning\((\w+)#", physical)) <= {ranking.BUCKET}
+
+
 def test_mart_ranks(spark, sf):
     from catalogue import queries as q
 
