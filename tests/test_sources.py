@@ -8,6 +8,7 @@ import zipfile
 from datetime import date, datetime
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F, types as T
@@ -448,3 +449,49 @@ def test_row_audit_needs_no_extra_job(spark, tmp_path):
     assert seen.get == {"rows": 42}
     counts = audit.row_counts({"a": spark.range(3), "b": spark.range(0)})
     assert rows(counts) == [("a", 3), ("b", 0)]
+
+
+ODD = 'x,y,z\na,1.5,\n"p\n\nq",2,"d""e"\n,"",""\n\nlong,row,1,2\nu,no,v\na"b,3,"c\n"\nlast,7,'
+
+
+@pytest.mark.parametrize("block", [3, 16, 1 << 20])
+def test_archive_blocks_hold_the_records_of_the_reader(tmp_path, monkeypatch, block):
+    """Parsed at once or one by one, a member gives the same cells; text comes with what may not fit."""
+    schema = T.StructType([T.StructField("x", T.StringType()), T.StructField("y", T.DoubleType()), T.StructField("z", T.StringType())])
+    monkeypatch.setattr(archives, "_BLOCK_CHARS", block)
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as out:
+        out.writestr("odd.csv", ODD)
+        out.writestr("plain.csv", "x,y,z\n" + 'a,1.5,"b\nc"\n' * 50)
+    found, plain = [], []
+    with zipfile.ZipFile(tmp_path / "a.zip") as archive:
+        for rows, member in ((found, "odd.csv"), (plain, "plain.csv")):
+            for batch in archives._member_batches(archive, member, schema, {}):
+                columns = [pa.array(batch[n], pa.string()).to_pylist() for n in ("x", "y", "z", "_corrupt_record", "_line")]
+                rows += zip(*columns)
+    assert [r[:4] for r in found] == [
+        ("a", "1.5", None, None),
+        ("p\n\nq", "2", 'd"e', None),
+        (None, "", "", None),
+        (None, None, None, "long,row,1,2"),
+        ("u", "no", "v", None),
+        ('a"b', "3", "c\n", None),
+        ("last", "7", None, None),
+    ]
+    assert [r[4] for r in found if r[1] == "no"] == ["u,no,v"]
+    assert [r[:4] for r in plain] == [("a", "1.5", "b\nc", None)] * 50
+    assert block < 1 << 20 or {r[4] for r in plain} == {None}
+
+
+def test_archives_of_one_task_are_bounded(spark, tmp_path):
+    """A task's trips fill several archives, so that reading spreads over tasks."""
+    from catalogue.landing import write_trip_archives
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        ids = spark.range(1000, numPartitions=1).select(F.col("id").cast("string").alias("ride_id"))
+        write_trip_archives(ids, str(tmp_path / "landed"), archive_bytes=500)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    read = archives.unpack_trip_archives(spark, str(tmp_path / "landed"))
+    assert len(list((tmp_path / "landed").glob("*.zip"))) > 3
+    assert sorted(int(r.ride_id) for r in read.collect()) == list(range(1000))
