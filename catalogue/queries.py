@@ -566,7 +566,8 @@ def demand_incremental(spark, sf_dir):
 def distinct_rolling(spark, sf_dir):
     """Stations and trips of each quarter-long run of months, from stored sketches, next to the exact counts."""
     path, columns = scratch_path(spark, "sketches"), ["start_station_id", "ride_id"]
-    rows = stored(spark, sf_dir, "clean", lambda: clean(spark, sf_dir))
+    # Read twice, for sketches and exact counts: only these columns are stored.
+    rows = materialise(clean(spark, sf_dir).select("year", "month", *columns), "months")
     distinct_states.refresh_sketches(rows, path, columns)
     rolling = distinct_states.rolling_distinct(spark.read.parquet(path), columns)
     exact = (

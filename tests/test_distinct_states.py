@@ -54,3 +54,12 @@ def test_nulls_and_empty_tables(spark):
     assert states.rolling_distinct(sketches.limit(0), ["rider"]).count() == 0
     states.refresh_sketches(df, "/nowhere", ["rider"], months=[])
     assert states.relative_error(12) == pytest.approx(0.01625)
+
+
+def test_rolling_query_stores_only_its_columns(spark, sf, monkeypatch):
+    from catalogue import queries as q
+
+    kept, store = [], q.materialise
+    monkeypatch.setattr(q, "materialise", lambda df, label: kept.append(df.columns) or store(df, label))
+    q.QUERIES["distinct_rolling"](spark, sf)
+    assert kept == [["year", "month", "start_station_id", "ride_id"]]
