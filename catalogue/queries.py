@@ -551,14 +551,16 @@ def layer_views(spark, sf_dir):
 def demand_incremental(spark, sf_dir):
     """Demand from states per month, after a late load for one month of which only part had come."""
     path, states = scratch_path(spark, "trips"), scratch_path(spark, "states")
-    rows = clean(spark, sf_dir)
-    late = "year = 1995 and month = 6"
-    sinks.write_trips(rows.filter(f"not ({late}) or member_casual = 'member'"), path, compact=True)
-    demand_states.refresh_states(staging.stage_trips(trip_sources.read_trips(spark, path)), states)
-    load = rows.filter(late)
+    # The raw rows are parsed once, and only what the states are made from is stored.
+    rows = staged_trips(spark, sf_dir).select(*demand_states.trip_columns())
+    sinks.write_trips(rows, path, compact=True)
+    # The late load is one month's folder, held back: until it comes, only its members' trips stand there.
+    load = materialise(demand_states.of_months(trip_sources.read_trips(spark, path, rows.schema), [(1995, 6)]), "load")
+    sinks.write_trips(load.filter("member_casual = 'member'"), path, compact=True)
+    demand_states.refresh_states(trip_sources.read_trips(spark, path, rows.schema), states)
     sinks.write_trips(load, path, compact=True)
     months = demand_states.touched_months(load)
-    demand_states.refresh_states(staging.stage_trips(trip_sources.read_trips(spark, path)), states, months)
+    demand_states.refresh_states(trip_sources.read_trips(spark, path, rows.schema), states, months)
     return demand_states.merge_states(demand_states.read_states(spark, states))
 
 

@@ -34,11 +34,34 @@ def of_months(df: DataFrame, months: Months) -> DataFrame:
     return df.where(reduce(or_, wanted, F.lit(False)))
 
 
+def trip_columns(bucket: str = "start") -> list[str]:
+    """The columns of staged trips that states are made from, months last."""
+    return [
+        "start_station_id",
+        "start_station_name",
+        "start_hour",
+        "start_day_of_week",
+        "start_day_name",
+        "end_station_id",
+        *(["ended_at"] if bucket == "end" else []),
+        "trip_duration_minutes",
+        "member_casual",
+        "rideable_type",
+        *MONTH,
+    ]
+
+
 def month_states(trips: DataFrame, bucket: str = "start") -> DataFrame:
-    """States of staged trips per month: one row per departure cell, and one per arrival cell."""
+    """States of staged trips per month: one row per departure cell, and one per arrival cell.
+
+    A month has up to as many departure cells as trips, and files hold more trips than a task has room for cells.
+    So trips are moved before they are counted, in ranges of about equal size that lie by month as the states are written.
+    Arrival cells have no names and are counted first.
+    """
+    placed = trips.repartitionByRange(*MONTH, "start_station_id", "start_hour", "start_day_of_week")
     total, count = exact_parts(F.col("trip_duration_minutes"), _DIGITS)
     measures = demand._departure_measures()
-    departed = trips.groupBy(*MONTH, *demand._departure_keys()).agg(
+    departed = placed.groupBy(*MONTH, *demand._departure_keys()).agg(
         *(measures[name].alias(name) for name in _COUNTS),
         total.alias("duration_sum"),
         count.alias("duration_count"),
@@ -50,19 +73,23 @@ def month_states(trips: DataFrame, bucket: str = "start") -> DataFrame:
         hour.alias("hour_of_day"),
         day.alias("start_day_of_week"),
     ).agg(F.count(F.lit(1)).alias("total_arrivals"))
-    return departed.unionByName(arrived, allowMissingColumns=True)
+    return departed.unionByName(arrived.hint("rebalance", *MONTH), allowMissingColumns=True)
 
 
 def merge_states(states: DataFrame) -> DataFrame:
-    """Hourly net demand of all the months whose states are given."""
+    """Hourly net demand of all the months whose states are given.
+
+    A cell has at most one state per month and name, so they are moved before they are added up.
+    """
+    placed = states.repartition(*demand.CELL)
     departed = (
-        states.where("total_departures is not null")
+        placed.where("total_departures is not null")
         .groupBy(*_DEPARTURE_CELL)
         .agg(*(F.sum(name).alias(name) for name in (*_COUNTS, "duration_sum", "duration_count")))
         .withColumn("avg_trip_duration_minutes", mean_of_parts(F.col("duration_sum"), F.col("duration_count"), _DIGITS))
     )
     arrived = (
-        states.where("total_arrivals is not null")
+        placed.where("total_arrivals is not null")
         .groupBy(*demand.CELL)
         .agg(F.sum("total_arrivals").alias("total_arrivals"))
     )
@@ -81,9 +108,12 @@ def refresh_states(trips: DataFrame, path: str, months: Months | None = None, bu
 
 
 def replace_months(states: DataFrame, trips: DataFrame, path: str, months: Months | None) -> None:
-    """Write ``states`` of ``months`` of ``trips`` in place of those months' earlier ones (of all, if None)."""
+    """Write ``states`` of ``months`` of ``trips`` in place of those months' earlier ones (of all, if None).
+
+    Each task writes a file for every month it holds, so ``states`` should lie by month.
+    """
     mode = "static" if months is None else "dynamic"
-    writer = states.hint("rebalance", *MONTH).write.partitionBy(*MONTH).mode("overwrite")
+    writer = states.write.partitionBy(*MONTH).mode("overwrite")
     writer.option("partitionOverwriteMode", mode).parquet(path)
     spark = trips.sparkSession
     if months is not None:

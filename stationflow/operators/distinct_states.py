@@ -44,7 +44,8 @@ def refresh_sketches(
     if months is not None and not months:
         return
     wanted = trips if months is None else of_months(trips, months)
-    replace_months(month_sketches(wanted, columns, keys, lg_k), trips, path, months)
+    sketches = month_sketches(wanted, columns, keys, lg_k).hint("rebalance", *MONTH)
+    replace_months(sketches, trips, path, months)
 
 
 def _estimates(columns: Sequence[str]) -> list:

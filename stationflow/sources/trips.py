@@ -122,9 +122,9 @@ def split_corrupt(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame,
     return df.filter(~bad).drop(corrupt_col), df.filter(bad)
 
 
-def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Clean trips from Parquet partitioned by year and month.
+def read_trips(spark: SparkSession, path: str, schema: T.StructType = TRIP_CLEAN) -> DataFrame:
+    """Clean trips, or those columns of them that were stored, from Parquet partitioned by year and month.
 
     Filters on ``year`` and ``month`` prune folders.
     """
-    return spark.read.schema(TRIP_CLEAN).parquet(path)
+    return spark.read.schema(schema).parquet(path)

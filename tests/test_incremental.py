@@ -139,6 +139,54 @@ def test_only_touched_months_are_read_and_replaced(spark, clean, tmp_path):
     states.refresh_states(stored, path, [])
 
 
+def test_incremental_query_parses_once_and_stores_its_columns(spark, sf, monkeypatch):
+    raw, kept = [], []
+
+    def watched(step):
+        def run(df, *args, **options):
+            raw.append("l_orderkey" in plan_of(df))
+            kept.append(df.columns)
+            return step(df, *args, **options)
+
+        return run
+
+    for place, name in ((sinks, "write_trips"), (q, "materialise"), (states, "touched_months")):
+        monkeypatch.setattr(place, name, watched(getattr(place, name)))
+    result = q.QUERIES["demand_incremental"](spark, sf)
+    assert raw[0] and not any(raw[1:])
+    assert {tuple(columns) for columns in kept} == {tuple(states.trip_columns())}
+    assert rows(result) == rows(q.hourly_demand(spark, sf))
+
+
+def test_states_move_rows_once_and_count_after(spark, clean, tmp_path):
+    """A task that counts before rows are moved holds as many cells as its files have trips."""
+    trips_path, path = f"{tmp_path}/trips", f"{tmp_path}/states"
+    staged = staging.stage_trips(clean).select(*states.trip_columns())
+    sinks.write_trips(staged, trips_path, compact=True)
+    stored = trip_sources.read_trips(spark, trips_path, staged.schema)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(states.month_states(stored))
+        assert plan.count("Exchange rangepartitioning") == 1
+        # The arrivals: counted, then laid by month.
+        assert plan.count("Exchange hashpartitioning") == 2
+        states.refresh_states(stored, path)
+        merged = states.merge_states(states.read_states(spark, path))
+        assert plan_of(merged).count("Exchange hashpartitioning") == 2
+        assert rows(merged) == rows(demand.hourly_demand(stored))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    months = len(states.touched_months(stored))
+    # Ranges lie by month: a task shares at most its first and last month with another.
+    files = len(list(tmp_path.glob("states/year=*/month=*/*.parquet")))
+    assert files <= 2 * months + 8
+    for bucket in ("start", "end"):
+        narrow = staging.stage_trips(clean).select(*states.trip_columns(bucket))
+        assert rows(states.merge_states(states.month_states(narrow, bucket))) == rows(
+            demand.hourly_demand(staging.stage_trips(clean), bucket)
+        )
+
+
 # layers
 
 
