@@ -32,10 +32,11 @@ def parse_time(text: Column, formats: Sequence[str] = TRIP_FORMATS) -> Column:
 def trip_minutes(start: Column, end: Column) -> Column:
     """Minutes between two times, from whole seconds, at two decimals.
 
-    Whole seconds never fall half-way between two hundredths of a minute, so
-    rounding the double is exact here.
+    Whole seconds never fall half-way between two hundredths of a minute, so the nearest hundredth is
+    found in whole numbers; rounding a double would go through a decimal for each row.
     """
-    return F.round((F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60.0), 2)
+    seconds = F.unix_timestamp(end) - F.unix_timestamp(start)
+    return F.floor((seconds * 10 + 3) / F.lit(6.0)) / F.lit(100.0)
 
 
 def day_name(day_of_week: Column) -> Column:

@@ -78,6 +78,17 @@ def test_trip_minutes_match_decimal_rounding(spark):
     assert df.filter(fn.trip_minutes(start, F.col("end")) != exact).count() == 0
 
 
+def test_trip_minutes_round_in_whole_numbers(spark):
+    """Every second to either side gives the rounded double, without the decimal that rounding goes through."""
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    df = spark.range(-90000, 90000).withColumn("end", F.timestamp_add("SECOND", F.col("id"), start))
+    minutes = df.select("id", fn.trip_minutes(start, F.col("end")).alias("minutes"))
+    assert minutes.filter(~F.col("minutes").eqNullSafe(F.round(F.col("id") / 60, 2))).count() == 0
+    assert minutes.dtypes[1] == ("minutes", "double")
+    assert "round(" not in minutes._jdf.queryExecution().toString()
+    assert one(spark, fn.trip_minutes(start, F.lit(None).cast("timestamp"))) is None
+
+
 def test_normalise_name(spark):
     name = F.lit(" \t W 21 St \n")
     assert one(spark, fn.normalise_name(name)) == "w 21 st"
